@@ -134,3 +134,16 @@ GOLD_COLUMNS_SQL = ("member_id, total_transactions, CAST(lifetime_spend AS DOUBL
                     "reward_breakage_rate, current_tier, CAST(annual_ltv AS DOUBLE) AS annual_ltv, "
                     "days_since_last_txn, CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value, "
                     "preferred_channel")
+
+
+def dedup_cte(name: str, where: str = "TRUE") -> str:
+    """Latest clean row per transaction among rows matching ``where``."""
+    return f"""{name} AS (
+  SELECT * EXCLUDE (rn), strftime(transaction_date, '%Y-%m') AS transaction_month
+  FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY {INGEST_ORDER}) AS rn
+        FROM clean WHERE {where})
+  WHERE rn = 1)"""
+
+
+SILVER_COLUMNS_SQL = ("transaction_id, member_id, transaction_date, CAST(amount AS DOUBLE) AS amount, "
+                      "points_earned, channel, store_id, tier, redemption_points, batch_id")

@@ -201,9 +201,16 @@ def q_silver_month(spark, sf_dir):
                                               "transaction_month")
 
 
+def _load_all() -> None:
+    # table/pipeline queries register themselves on import
+    from tidemark.plans import queries_tables  # noqa: F401
+
+
 def oracle_sql() -> dict:
+    _load_all()
     return dict(ORACLES)
 
 
 def queries() -> dict:
+    _load_all()
     return dict(QUERIES)
