@@ -515,3 +515,16 @@ SELECT 'silver' AS table_name, CAST(version AS BIGINT) AS version, operation,
 FROM m""")
 def q_recent_runs(spark, sf_dir):
     return scenario(spark, sf_dir).run_log(pl.SILVER, limit=10).drop("committed_at")
+
+
+# ---- streaming -------------------------------------------------------------------
+
+@register("stream_silver", f"WITH {BASE} SELECT {SEL_SILVER} FROM silver")
+def q_stream_silver(spark, sf_dir):
+    """Landing drained through the availableNow stream into its own Silver."""
+    from tidemark.streaming.silver_stream import stream_silver
+    store = scenario(spark, sf_dir)
+    store.refresh()
+    if not store.exists("silver_stream"):
+        stream_silver(spark, store, "silver_stream")
+    return _sel(store.read_table("silver_stream"))
