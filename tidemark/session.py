@@ -70,7 +70,3 @@ def is_local_path(path: str) -> bool:
 def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 import uuid
 from dataclasses import dataclass
 
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.merge import CHANGE_TYPE, upsert_with_changes
+from tidemark.session import is_local_path, local_fs_path
 
 LOG = "_log"
 CHANGES = "_changes"
@@ -66,6 +68,7 @@ class TableStore:
         self.root = root.rstrip("/")
         self._clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
         self._log_cache: list[dict] | None = None
+        self._jobs_cache: dict | None = None
 
     # ---- paths and log ------------------------------------------------------
     def path(self, name: str) -> str:
@@ -108,13 +111,18 @@ class TableStore:
         return self.spark.createDataFrame(self._log_rows(), self._log_schema())
 
     def refresh(self) -> None:
-        """Forget the cached log (another process may have published)."""
+        """Forget cached state (another process may have published)."""
         self._log_cache = None
+        self._jobs_cache = None
 
     def _log_rows(self) -> list[dict]:
         # The log holds one small row per version; it is read once per store
         # and then kept in step with this store's own publications.
         if self._log_cache is None:
+            if is_local_path(self.root) and not os.path.exists(
+                    local_fs_path(self._log_path())):
+                self._log_cache = []
+                return self._log_cache
             try:
                 df = self.spark.read.parquet(self._log_path())
                 self._log_cache = [r.asDict() for r in df.collect()]
@@ -158,22 +166,25 @@ class TableStore:
         observed during the write itself (no second pass). Returns the ids.
         """
         obs = Observation(f"append_{name}")
+        # REBALANCE on the batch column: each task writes few batch folders
+        # instead of every task writing every batch; AQE splits a batch that
+        # holds a large share of the rows into several tasks and merges
+        # small ones, so file sizes stay even without a sampling pass.
+        df = df.hint("rebalance", batch_col)
         (df.observe(obs, F.count(F.lit(1)).alias("rows"),
                     F.array_sort(F.collect_set(batch_col)).alias("batches"))
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(batch_col).parquet(self.path(name)))
         got = obs.get
         batches = [int(b) for b in (got.get("batches") or [])]
-        schema_json = self.spark.read.parquet(self.path(name)).schema.json() if batches else None
-        entries = [(name, b, {"operation": operation, "kind": "append",
-                              "partition_by": batch_col,
-                              "parts": [f"{self.path(name)}/{batch_col}={b}"],
-                              "feed_parts": [f"{self.path(name)}/{batch_col}={b}"],
-                              "has_feed": False, "schema_json": schema_json,
-                              "rows_written": int(got.get("rows", 0)) if b == batches[-1] else None})
-                   for b in batches]
-        if entries:
-            self._write_log_rows(entries)
+        if batches:
+            # one publication for the whole call: version = newest batch id;
+            # batch ranges are read through the folder filter, not the log
+            self._write_log(name, batches[-1], {
+                "operation": operation, "kind": "append", "partition_by": batch_col,
+                "parts": [self.path(name)], "feed_parts": [], "has_feed": False,
+                "schema_json": df.schema.json(), "rows_written": int(got.get("rows", 0)),
+                "rows_inserted": int(got.get("rows", 0)), "rows_updated": 0, "rows_deleted": 0})
         return batches
 
     def append_batch(self, df: DataFrame, name: str, batch_id: int,
@@ -187,18 +198,31 @@ class TableStore:
         self._write_log(name, batch_id, {"operation": operation, "kind": "append",
                                          "partition_by": batch_col, "parts": [folder],
                                          "feed_parts": [folder], "has_feed": False,
-                                         "schema_json": df.drop(batch_col).schema.json(),
+                                         "schema_json": T.StructType(
+                                             df.drop(batch_col).schema.fields
+                                             + [T.StructField(batch_col, T.IntegerType())]).json(),
                                          "rows_written": rows, "rows_inserted": rows})
         return rows
 
     def read_batches(self, name: str, after: int | None = None,
                      upto: int | None = None) -> DataFrame:
-        """Rows of batches in (after, upto]; the range prunes batch folders."""
+        """Rows of batches in (after, upto]; the range prunes batch folders.
+
+        When every batch in the range was written with the same schema it is
+        passed to the reader (no inference job); otherwise Parquet schema
+        merging reconciles additive differences.
+        """
         info = self.version_info(name)
         if info is None:
             raise FileNotFoundError(f"table {name} has no published batch")
         col = F.col(info.partition_by)
-        df = self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
+        schemas = {r["schema_json"] for r in self._entries(name)}
+        reader = self.spark.read
+        if len(schemas) == 1 and None not in schemas:
+            reader = reader.schema(T.StructType.fromJson(json.loads(schemas.pop())))
+        else:
+            reader = reader.option("mergeSchema", "true")
+        df = reader.parquet(self.path(name))
         if after is not None:
             df = df.where(col > after)
         if upto is not None:
@@ -240,14 +264,20 @@ class TableStore:
 
     def _read_parts(self, name: str, parts: list, partition_by: str | None,
                     schema_json: str | None = None) -> DataFrame:
+        """Read the listed folders with the schema recorded at publication.
+
+        Passing the schema skips footer-based inference (no extra job) and
+        keeps partition column types fixed; folders written before a column
+        was added read it as NULL.
+        """
+        if schema_json is None:
+            schema_json = self.version_info(name).schema_json
+        schema = T.StructType.fromJson(json.loads(schema_json)) if schema_json else None
         if not parts:
-            info = self.version_info(name)
-            schema = T.StructType.fromJson(json.loads(
-                schema_json or info.schema_json))
             return self.spark.createDataFrame([], schema)
-        df = (self.spark.read.option("mergeSchema", "true")
-                  .option("basePath", self.path(name)).parquet(*parts))
-        return df.drop("v")
+        reader = self.spark.read.option("basePath", self.path(name))
+        reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
+        return reader.parquet(*parts).drop("v")
 
     def _write_version(self, df: DataFrame, name: str, version: int,
                        partition_by: str | None, cluster_by: list | None) -> tuple[list, int]:
@@ -359,10 +389,21 @@ class TableStore:
         Append-only tables and whole-snapshot versions expose their data as
         ``insert`` rows; merges expose the rows of their ``_changes`` folder.
         """
+        types = list(change_types)
+        info = self.version_info(name)
+        if info is None:
+            raise FileNotFoundError(f"table {name} has no published version")
+        if info.kind == "append":
+            # append-only: the feed of (after, upto] is the batches in range
+            if "insert" not in types:
+                raise FileNotFoundError(f"{name} is append-only: only inserts")
+            out = (self.read_batches(name, after, upto)
+                   .withColumn(CHANGE_TYPE, F.lit("insert"))
+                   .withColumn("_commit_version", F.col(info.partition_by)))
+            return out if with_meta else out.drop(CHANGE_TYPE, "_commit_version")
         infos = [r for r in self._entries(name)
                  if (after is None or r["version"] > after) and (upto is None or r["version"] <= upto)]
         frames = []
-        types = list(change_types)
         feed_versions = [int(r["version"]) for r in infos if r["has_feed"]]
         if feed_versions:
             ch = (self.spark.read.option("mergeSchema", "true")
@@ -374,10 +415,9 @@ class TableStore:
         if "insert" in types:
             for r in infos:
                 if r["feed_parts"]:
-                    part_df = self.spark.read.option("mergeSchema", "true").option(
-                        "basePath", self.path(name)).parquet(*r["feed_parts"])
-                    if r["kind"] == "keyed":
-                        part_df = part_df.drop("v")
+                    # whole-snapshot versions: their data files are the inserts
+                    part_df = self._read_parts(name, list(r["feed_parts"]), r["partition_by"],
+                                               r["schema_json"])
                     frames.append(part_df.withColumn(CHANGE_TYPE, F.lit("insert"))
                                   .withColumn("_commit_version", F.lit(int(r["version"]))))
         if not frames:
@@ -390,10 +430,11 @@ class TableStore:
     # ---- job versions (control table) ---------------------------------------
     def job_versions(self) -> dict:
         """job_name -> last processed version (bounded: one row per job)."""
-        if not self.exists(JOB_VERSIONS):
-            return {}
-        return {r["job_name"]: int(r["last_processed_version"])
+        if self._jobs_cache is None:
+            self._jobs_cache = {} if not self.exists(JOB_VERSIONS) else {
+                r["job_name"]: int(r["last_processed_version"])
                 for r in self.read_table(JOB_VERSIONS).collect()}
+        return dict(self._jobs_cache)
 
     def get_last_version(self, job: str) -> int | None:
         """None means: no state (first run or lost control table) -> full load."""
@@ -405,7 +446,9 @@ class TableStore:
         state[job] = int(version)
         df = self.spark.createDataFrame(sorted(state.items()),
                                         "job_name string, last_processed_version long")
-        return self.create(df.coalesce(1), JOB_VERSIONS, operation="SAVE_VERSION")
+        version = self.create(df.coalesce(1), JOB_VERSIONS, operation="SAVE_VERSION")
+        self._jobs_cache = state
+        return version
 
     def run_log(self, name: str | None = None, limit: int = 10) -> DataFrame:
         """Most recent published versions with their row metrics (top-k)."""
