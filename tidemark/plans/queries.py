@@ -9,6 +9,7 @@ clock are left out, so results compare exactly with the DuckDB oracle.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from tidemark.operators.quality import split_rules
 from tidemark.operators.summary import member_summary
 from tidemark.plans import analytics as an
 from tidemark.plans import oracles as o
+from tidemark.session import configure
 from tidemark.sources.adapters import landing_transactions
 
 # ---- scenario parameters (fixed) -------------------------------------------
@@ -34,7 +36,11 @@ ORACLES: dict = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -19,11 +19,28 @@ BASE_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A union of two hash-partitioned inputs that AQE coalesced to different
+    # partition counts fails when Union keeps its children's partitioning
+    # ("Can't zip RDDs with unequal numbers of partitions"); keep it off.
+    "spark.sql.unionOutputPartitioning": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+# Runtime SQL settings the library relies on; applied to any session handed
+# to a registered query (the caller may have built the session itself).
+RUNTIME_CONF = ("spark.sql.adaptive.enabled", "spark.sql.session.timeZone",
+                "spark.sql.sources.partitionOverwriteMode", "spark.sql.unionOutputPartitioning")
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    for k in RUNTIME_CONF:
+        if spark.conf.get(k, None) != BASE_CONF[k]:
+            spark.conf.set(k, BASE_CONF[k])
+    return spark
+
+
 def get_spark(app: str = "tidemark", master: str | None = None,
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:

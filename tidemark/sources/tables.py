@@ -3,7 +3,7 @@
 Layout below one root folder (a shared file system path on a cluster):
 
   <root>/<name>/batch_id=<n>/...          append-only table; version = batch id
-  <root>/<name>/v=<n>/<part>=<value>/...  keyed table, files written by version n
+  <root>/<name>/tm_version=<n>/<part>=<value>/...  keyed table, files of version n
   <root>/<name>/_changes/version=<n>/...  change feed rows of version n
   <root>/_log/table_name=<name>/version=<n>/   one row per published version:
         operation, row metrics, and the data folders making up the version
@@ -32,6 +32,7 @@ from tidemark.session import is_local_path, local_fs_path
 
 LOG = "_log"
 CHANGES = "_changes"
+VERSION_DIR = "tm_version"   # folder key of a keyed version; dropped on read
 JOB_VERSIONS = "job_versions"
 
 LOG_SCHEMA = T.StructType([
@@ -241,7 +242,7 @@ class TableStore:
 
     # ---- keyed tables -------------------------------------------------------
     def _vdir(self, name: str, version: int) -> str:
-        return f"{self.path(name)}/v={version}"
+        return f"{self.path(name)}/{VERSION_DIR}={version}"
 
     def read_table(self, name: str, version: int | None = None,
                    partitions: list | None = None) -> DataFrame:
@@ -277,7 +278,7 @@ class TableStore:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.option("basePath", self.path(name))
         reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
-        return reader.parquet(*parts).drop("v")
+        return reader.parquet(*parts).drop(VERSION_DIR)
 
     def _write_version(self, df: DataFrame, name: str, version: int,
                        partition_by: str | None, cluster_by: list | None) -> tuple[list, int]:
