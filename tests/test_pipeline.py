@@ -131,3 +131,18 @@ def test_stream_matches_batch_silver_and_replays_safely(spark, built):
     assert rows(s) == rows(b)
     again = stream_silver(spark, store, "silver_stream_t")      # nothing new: no change
     assert rows(store.read_table("silver_stream_t").drop("ingested_at")) == rows(s)
+
+
+def test_gate_checks_changed_keys_and_catches_duplicates(spark, built):
+    from tidemark.operators.quality import GateFailed
+    store, results = built
+    scopes = [[r.get("uniqueness_scope") for r in run if r["stage"] == "gate"][0]
+              for run in results]
+    assert scopes[0] == "full" and scopes[1] == "changed"
+    # plant a duplicate through a raw publication (bypassing the keyed merge)
+    silver = store.read_table(pl.SILVER)
+    dup = silver.limit(1)
+    store.publish(silver.unionByName(dup), pl.SILVER, changes=dup.withColumn(
+        "_change_type", F.lit("insert")), partition_by="transaction_month")
+    with pytest.raises(GateFailed):
+        pl.run_gate(store, sc.SCENARIO_CONFIG)
