@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.enrich import maybe_broadcast
+
 CHANGE_TYPE = "_change_type"
 
 
@@ -40,8 +42,14 @@ def _newer_or_equal(s: Column, t: Column) -> Column:
     return s >= t
 
 
+# Largest key set (rows) the merge ships to every executor; above it the
+# target is joined by shuffle.
+MAX_BROADCAST_KEYS = 5_000_000
+
+
 def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
-                        version_cols=None, delete_keys: DataFrame | None = None
+                        version_cols=None, delete_keys: DataFrame | None = None,
+                        materialize=None, max_broadcast_keys: int = MAX_BROADCAST_KEYS
                         ) -> tuple[DataFrame, DataFrame]:
     """MERGE (update all when matched, insert all otherwise) -> (result, changes).
 
@@ -53,6 +61,13 @@ def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
     * ``changes`` has the result schema plus ``_change_type`` in
       ``insert`` / ``update_preimage`` / ``update_postimage`` / ``delete``;
       a matched row whose values do not change produces no change rows.
+    * ``materialize``: optional callable used to stage the source-sized
+      decision set once (it feeds both the result and the changes).
+
+    The target is touched only by a semi-join (rows matching a source key)
+    and an anti-join (rows without a source key) against the source's keys,
+    broadcast when their row count is within ``max_broadcast_keys``: the
+    target is scanned, never shuffled, for a source of bounded size.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = union_schema(target, source)
@@ -60,7 +75,7 @@ def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
     tgt = align(target, cols)
     src = align(source, cols)
 
-    src_keys = src.select(*keys)
+    src_keys = maybe_broadcast(src.select(*keys), max_broadcast_keys)
     # target rows whose key appears in the source (bounded by the source size)
     hit = tgt.join(src_keys, keys, "left_semi")
     pairs = (src.select(*keys, F.struct(*names).alias("_s"))
@@ -73,11 +88,14 @@ def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
         wins = F.lit(True)
     same = F.col("_t").isNotNull() & F.col("_s").eqNullSafe(F.col("_t"))
     decided = pairs.withColumn("_wins", wins & ~same)
+    if materialize is not None:
+        decided = materialize(decided)
 
     winners = decided.where("_wins")
-    changed_keys = winners.select(*keys)
-    result = (tgt.join(changed_keys, keys, "left_anti")
-                 .unionByName(winners.select("_s.*")))
+    kept = decided.where(~F.col("_wins") & F.col("_t").isNotNull()).select("_t.*")
+    result = (tgt.join(src_keys, keys, "left_anti")
+                 .unionByName(winners.select("_s.*"))
+                 .unionByName(kept))
 
     change_rows = winners.select(F.explode(F.filter(F.array(
         F.when(F.col("_t").isNull(),
@@ -90,7 +108,7 @@ def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
     changes = change_rows
 
     if delete_keys is not None:
-        dk = delete_keys.select(*keys).distinct()
+        dk = maybe_broadcast(delete_keys.select(*keys).distinct(), max_broadcast_keys)
         gone = result.join(dk, keys, "left_semi")
         result = result.join(dk, keys, "left_anti")
         changes = changes.unionByName(gone.withColumn(CHANGE_TYPE, F.lit("delete")))

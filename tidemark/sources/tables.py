@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.merge import CHANGE_TYPE, upsert_with_changes
+from tidemark.operators.enrich import maybe_broadcast
+from tidemark.operators.merge import CHANGE_TYPE, MAX_BROADCAST_KEYS, upsert_with_changes
 from tidemark.session import is_local_path, local_fs_path
 
 LOG = "_log"
@@ -361,10 +362,13 @@ class TableStore:
         version = info.version + 1
         if partition_by:
             current = self._read_parts(name, info.parts, partition_by, info.schema_json)
+            # partitions holding a source row or the current copy of a source
+            # key; only the key and partition columns of the table are read
+            src_keys = maybe_broadcast(source.select(*keys), MAX_BROADCAST_KEYS)
             touched = [r[0] for r in (
                 source.select(partition_by)
-                      .union(current.join(source.select(*keys), keys, "left_semi")
-                                    .select(partition_by))
+                      .union(current.select(*keys, partition_by)
+                                    .join(src_keys, keys, "left_semi").select(partition_by))
                       .distinct().collect())]
             wanted = {f"{partition_by}={p}" for p in touched}
             keep = [p for p in info.parts if p.rsplit("/", 1)[-1] not in wanted]
@@ -372,7 +376,9 @@ class TableStore:
                                       partition_by, info.schema_json)
         else:
             keep, target = [], self._read_parts(name, info.parts, None, info.schema_json)
-        result, changes = upsert_with_changes(target, source, keys, version_cols, delete_keys)
+        result, changes = upsert_with_changes(
+            target, source, keys, version_cols, delete_keys,
+            materialize=lambda df: self.stage(df, f"{name}-merge"))
         parts, rows = self._write_version(result, name, version, partition_by, cluster_by)
         metrics = self._write_changes(name, version, changes)
         self._write_log(name, version, {"operation": operation, "kind": "keyed",
