@@ -146,3 +146,23 @@ def test_gate_checks_changed_keys_and_catches_duplicates(spark, built):
         "_change_type", F.lit("insert")), partition_by="transaction_month")
     with pytest.raises(GateFailed):
         pl.run_gate(store, sc.SCENARIO_CONFIG)
+
+
+def test_sql_views_over_published_tables(spark, built):
+    store, _ = built
+    assert "gold_member_summary" in store.register_views(pl.SQL_VIEWS)
+    sql = """
+        SELECT current_tier, COUNT(*) AS member_count,
+               ROUND(AVG(total_transactions), 1) AS avg_transactions_per_member
+        FROM gold_member_summary GROUP BY current_tier"""
+    got = {r["current_tier"]: r["member_count"] for r in spark.sql(sql).collect()}
+    gold = store.read_table(pl.GOLD)
+    want = {r["current_tier"]: r["count"] for r in gold.groupBy("current_tier").count().collect()}
+    assert got == want
+    velocity = spark.sql("""
+        SELECT h1.member_id FROM gold_member_tier_history h1
+        JOIN gold_member_tier_history h2 ON h1.member_id = h2.member_id
+         AND h2.effective_date = DATE_ADD(h1.expiry_date, 1)
+        WHERE h1.current_tier != h2.current_tier""")
+    from tidemark.plans.analytics import tier_velocity
+    assert velocity.count() == tier_velocity(store.read_table(pl.HISTORY)).count()

@@ -36,6 +36,12 @@ ALL_CHANGES = ("insert", "update_preimage", "update_postimage", "delete")
 SILVER_VERSION = ("ingested_at", "batch_id") + TRANSACTION_TIEBREAK
 
 
+# SQL names of the published tables (for ``TableStore.register_views``)
+SQL_VIEWS = {"silver_transactions": SILVER, "silver_transactions_quarantine": QUARANTINE,
+             "gold_member_summary": GOLD, "gold_member_tier_history": HISTORY,
+             "dq_report": GATE, "job_versions": "job_versions"}
+
+
 @dataclass
 class Config:
     tiers: tuple = DEFAULT_TIERS

@@ -288,6 +288,11 @@ class TableStore:
             # one-column clustering: a range sort co-locates keys, so Parquet
             # min/max statistics skip files for key lookups.
             out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        elif partition_by:
+            # optimized write: rows of one partition value go to few tasks
+            # (AQE splits an oversized value and merges small ones), so a
+            # version adds a few files per partition instead of one per task.
+            out = out.hint("rebalance", partition_by)
         obs = Observation(f"write_{name}_{version}")
         writer = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         vdir = self._vdir(name, version)
@@ -457,6 +462,16 @@ class TableStore:
         self._jobs_cache = state
         return version
 
+    def register_views(self, views: dict) -> list[str]:
+        """Temp views (view name -> table) over the latest published versions,
+        so analysts' SQL text runs unchanged with ``spark.sql``."""
+        done = []
+        for view, table in views.items():
+            if self.exists(table):
+                self.read_table(table).createOrReplaceTempView(view)
+                done.append(view)
+        return done
+
     def run_log(self, name: str | None = None, limit: int = 10) -> DataFrame:
         """Most recent published versions with their row metrics (top-k)."""
         log = self.log()
