@@ -131,3 +131,16 @@ def test_enrich_checks_key_and_broadcasts_small_dim(spark):
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(DuplicateKeyError):
         enrich(fact, dim.unionByName(dim), "store_id")
+
+
+def test_summary_from_rollup_equals_direct_summary(spark):
+    from tidemark.functions.exprs import month_of
+    from tidemark.operators.summary import member_rollup, summary_from_rollup
+    from tidemark.plans.queries import silver_frame
+    from conftest import SF_SMALL
+    silver = silver_frame(spark, SF_SMALL)
+    as_of = dt.date(2001, 12, 31)
+    direct = member_summary(silver, as_of).drop("last_updated_ts")
+    via = summary_from_rollup(member_rollup(silver), as_of).drop("last_updated_ts")
+    assert dict(direct.dtypes) == dict(via.dtypes)
+    assert rows(direct) == rows(via)

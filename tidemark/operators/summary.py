@@ -43,6 +43,10 @@ def member_summary(txns: DataFrame, as_of, tiers=DEFAULT_TIERS,
         F.sum("_cents").alias("_cents"),
         F.mode("channel", deterministic=True).alias("preferred_channel"),
     )
+    return _finish(agg, as_of_col, tiers, run_ts, key)
+
+
+def _finish(agg: DataFrame, as_of_col, tiers, run_ts, key: str) -> DataFrame:
     return agg.select(
         key,
         "total_transactions",
@@ -65,6 +69,56 @@ def member_summary(txns: DataFrame, as_of, tiers=DEFAULT_TIERS,
     )
 
 
+ROLLUP_KEYS = ("member_id", "transaction_month", "channel")
+
+
+def member_rollup(txns: DataFrame, month_col: str = "transaction_month") -> DataFrame:
+    """Additive per-(member, month, channel) state behind the member summary.
+
+    Every Gold measure is a function of these sums, counts and date bounds,
+    so the summary of a member can be rebuilt from its rollup rows without
+    reading transactions. A month's rows depend only on that month's
+    transactions: when a merge rewrites some months, only those are
+    re-aggregated (partition-pruned read).
+    """
+    return (txns.select("member_id", month_col, "channel", "transaction_date", "amount",
+                        "points_earned", "redemption_points",
+                        (F.col("amount") * 100).cast("long").alias("_c"))
+                .groupBy("member_id", month_col, "channel")
+                .agg(F.count(F.lit(1)).alias("n"),
+                     F.sum("amount").alias("spend"),
+                     F.sum("_c").alias("cents"),
+                     F.sum("points_earned").alias("earned"),
+                     F.sum("redemption_points").alias("redeemed"),
+                     F.min("transaction_date").alias("first_date"),
+                     F.max("transaction_date").alias("last_date")))
+
+
+def summary_from_rollup(rollup: DataFrame, as_of, tiers=DEFAULT_TIERS,
+                        run_ts: dt.datetime | None = None, key: str = "member_id") -> DataFrame:
+    """The member summary rebuilt from rollup rows (equal to ``member_summary``
+    on the underlying transactions, including the preferred-channel tie rule:
+    highest count, then smallest value)."""
+    as_of_col = to_date_lit(as_of)
+    if run_ts is None:
+        run_ts = dt.datetime.combine(as_of if isinstance(as_of, dt.date)
+                                     else dt.date.fromisoformat(as_of), dt.time())
+    per_channel = (rollup.where(F.col("channel").isNotNull())
+                         .groupBy(key, "channel").agg(F.sum("n").alias("cn")))
+    preferred = per_channel.groupBy(key).agg(
+        F.min_by("channel", F.struct((-F.col("cn")).alias("k"), F.col("channel")))
+        .alias("preferred_channel"))
+    agg = rollup.groupBy(key).agg(
+        F.sum("n").alias("total_transactions"),
+        F.sum("spend").cast("decimal(20,2)").alias("lifetime_spend"),
+        F.max("last_date").alias("last_active_date"),
+        F.min("first_date").alias("_first_date"),
+        F.sum("earned").alias("total_points_earned"),
+        F.sum("redeemed").alias("total_points_redeemed"),
+        F.sum("cents").alias("_cents"))
+    return _finish(agg.join(preferred, key, "left"), as_of_col, tiers, run_ts, key)
+
+
 def affected_keys(changes: DataFrame, key: str = "member_id") -> DataFrame:
     """Distinct keys touched by a change feed, from every change type.
 

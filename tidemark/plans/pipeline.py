@@ -21,12 +21,13 @@ from tidemark.operators.quality import (default_suite, duplicate_keys, expectati
                                         gate, split_rules)
 from tidemark.operators.schema import reconcile_schema
 from tidemark.operators.scd2 import apply_tier_changes, init_history
-from tidemark.operators.summary import (affected_keys, member_summary, recompute_affected,
+from tidemark.operators.summary import (affected_keys, member_rollup, summary_from_rollup,
                                         vanished_keys)
 from tidemark.sources.tables import TableStore
 
 LANDING, BRONZE, SILVER, QUARANTINE = "landing", "bronze", "silver", "silver_quarantine"
 GOLD, HISTORY, GATE = "gold_member_summary", "member_tier_history", "dq_report"
+ROLLUP, JOB_ROLLUP = "member_month_rollup", "member_month_rollup"
 JOB_BRONZE, JOB_SILVER, JOB_GOLD, JOB_HISTORY, JOB_GATE = (
     "bronze_ingestion", "silver_transactions", "gold_member_summary", "member_tier_history",
     "dq_gate")
@@ -39,7 +40,7 @@ SILVER_VERSION = ("ingested_at", "batch_id") + TRANSACTION_TIEBREAK
 # SQL names of the published tables (for ``TableStore.register_views``)
 SQL_VIEWS = {"silver_transactions": SILVER, "silver_transactions_quarantine": QUARANTINE,
              "gold_member_summary": GOLD, "gold_member_tier_history": HISTORY,
-             "dq_report": GATE, "job_versions": "job_versions"}
+             "dq_report": GATE, "member_month_rollup": ROLLUP, "job_versions": "job_versions"}
 
 
 @dataclass
@@ -181,28 +182,62 @@ def run_gate(store: TableStore, cfg: Config | None = None, full: bool = False) -
                    uniqueness_scope=scope)
 
 
+def refresh_rollup(store: TableStore) -> dict:
+    """Bring the member x month x channel rollup up to the latest Silver.
+
+    First time: one aggregation over Silver. Afterwards only the months the
+    Silver merges rewrote since the last refresh are read (partition-pruned)
+    and re-aggregated; every other month folder is carried over.
+    """
+    last = store.get_last_version(JOB_ROLLUP)
+    current = store.current_version(SILVER)
+    months = None if last is None or not store.exists(ROLLUP) else \
+        store.touched_partitions(SILVER, last, current)
+    if last is not None and store.exists(ROLLUP) and last >= current:
+        return _result("rollup", "skipped")
+    if months is None:
+        rollup = member_rollup(store.read_table(SILVER))
+        version = store.create(rollup, ROLLUP, partition_by="transaction_month",
+                               operation="CREATE" if not store.exists(ROLLUP) else "REBUILD")
+        mode = "full"
+    else:
+        fresh = member_rollup(store.read_table(SILVER, partitions=months))
+        version = store.replace_partitions(fresh, ROLLUP, "transaction_month", months)
+        mode = f"{len(months)} months"
+    store.save_version(JOB_ROLLUP, current)
+    return _result("rollup", "ok", mode=mode, rollup_version=version)
+
+
 def run_gold(store: TableStore, as_of, run_ts, cfg: Config | None = None,
              rerun_date=None) -> dict:
-    """Member summary: full on first run, else only for affected members."""
+    """Member summary: full on first run, else only for affected members.
+
+    Affected members are rebuilt from the rollup (member-month grain), not
+    from their transaction history, so a daily run reads the Silver months it
+    changed plus the rollup rows of the affected members.
+    """
     cfg = cfg or Config()
     last = store.get_last_version(JOB_GOLD)
     current = store.current_version(SILVER)
-    silver = store.read_table(SILVER)
     cluster = list(cfg.gold_cluster_by) or None
+    if rerun_date is None and last is not None and store.exists(GOLD) and last >= current:
+        return _result("gold", "skipped", reason="no new silver versions")
+    refresh_rollup(store)
+    rollup = store.read_table(ROLLUP)
     if rerun_date is not None:
+        silver = store.read_table(SILVER)
         keys = store.stage(silver.where(F.col("transaction_date") == to_date_lit(rerun_date))
                                  .select("member_id").distinct(), "gold-keys")
     elif last is None or not store.exists(GOLD):
-        full = member_summary(silver, as_of, cfg.tiers, _ts(run_ts))
+        full = summary_from_rollup(rollup, as_of, cfg.tiers, _ts(run_ts))
         version = store.create(full, GOLD, cluster_by=cluster)
         store.save_version(JOB_GOLD, current)
         return _result("gold", "ok", mode="full", gold_version=version)
-    elif last >= current:
-        return _result("gold", "skipped", reason="no new silver versions")
     else:
         changes = store.read_changes(SILVER, last, current, ALL_CHANGES)
         keys = store.stage(affected_keys(changes), "gold-keys")
-    fresh = store.stage(recompute_affected(silver, keys, as_of, cfg.tiers, _ts(run_ts)),
+    scoped = rollup.join(keys, "member_id", "left_semi")
+    fresh = store.stage(summary_from_rollup(scoped, as_of, cfg.tiers, _ts(run_ts)),
                         "gold-fresh")
     gone = vanished_keys(keys, fresh)
     version = store.merge(fresh, GOLD, ["member_id"], delete_keys=gone, cluster_by=cluster)

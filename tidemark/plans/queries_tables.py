@@ -461,6 +461,7 @@ MAX_BATCH = (f"(SELECT MAX(year(l_shipdate) * 100 + month(l_shipdate)) FROM line
 SELECT 'bronze_ingestion' AS job_name, CAST({MAX_BATCH} AS BIGINT) AS last_processed_version
 UNION ALL SELECT 'silver_transactions', CAST(3 AS BIGINT)
 UNION ALL SELECT 'dq_gate', CAST(3 AS BIGINT)
+UNION ALL SELECT 'member_month_rollup', CAST(3 AS BIGINT)
 UNION ALL SELECT 'gold_member_summary', CAST(3 AS BIGINT)""")
 def q_job_version_get(spark, sf_dir):
     store = scenario(spark, sf_dir)

@@ -49,6 +49,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("rows_deleted", T.LongType()),
     T.StructField("committed_at", T.TimestampType()),
     T.StructField("schema_json", T.StringType()),
+    T.StructField("touched", T.ArrayType(T.StringType())),  # partition values rewritten
 ])
 
 
@@ -319,6 +320,8 @@ class TableStore:
                                         "partition_by": partition_by, "parts": parts,
                                         "feed_parts": parts, "has_feed": False,
                                         "schema_json": df.schema.json(),
+                                        "touched": [p.rsplit("=", 1)[-1] for p in parts]
+                                        if partition_by else None,
                                         "rows_written": rows, "rows_inserted": rows,
                                         "rows_updated": 0, "rows_deleted": 0})
         return version
@@ -380,6 +383,7 @@ class TableStore:
             target = self._read_parts(name, [p for p in info.parts if p not in keep],
                                       partition_by, info.schema_json)
         else:
+            touched = None
             keep, target = [], self._read_parts(name, info.parts, None, info.schema_json)
         result, changes = upsert_with_changes(
             target, source, keys, version_cols, delete_keys,
@@ -390,9 +394,45 @@ class TableStore:
                                         "partition_by": partition_by,
                                         "parts": sorted(keep + parts), "feed_parts": [],
                                         "has_feed": True, "schema_json": result.schema.json(),
+                                        "touched": None if touched is None
+                                        else sorted(str(t) for t in touched),
                                         "rows_written": rows, **metrics})
         return version
 
+    def replace_partitions(self, df: DataFrame, name: str, partition_by: str, values,
+                           operation: str = "REPLACE_PARTITIONS") -> int:
+        """New version where the partitions ``values`` hold exactly ``df``'s rows
+        (``df`` must only contain those values); every other partition folder of
+        the previous version is referenced as is. A value without rows in
+        ``df`` disappears."""
+        info = self.version_info(name)
+        if info is None:
+            return self.create(df, name, partition_by, operation="CREATE")
+        version = info.version + 1
+        wanted = {f"{partition_by}={v}" for v in values}
+        keep = [p for p in info.parts if p.rsplit("/", 1)[-1] not in wanted]
+        parts, rows = self._write_version(df, name, version, partition_by, None)
+        self._write_log(name, version, {"operation": operation, "kind": "keyed",
+                                        "partition_by": partition_by,
+                                        "parts": sorted(keep + parts), "feed_parts": parts,
+                                        "has_feed": False, "schema_json": df.schema.json(),
+                                        "touched": sorted(str(v) for v in values),
+                                        "rows_written": rows, "rows_inserted": rows,
+                                        "rows_updated": 0, "rows_deleted": 0})
+        return version
+
+    def touched_partitions(self, name: str, after: int | None, upto: int | None) -> list | None:
+        """Partition values rewritten by versions in (after, upto]; None when a
+        version in the range did not record them (treat as: all)."""
+        out = set()
+        for r in self._entries(name):
+            v = r["version"]
+            if (after is None or v > after) and (upto is None or v <= upto):
+                if r.get("touched") is None:
+                    return None
+                out.update(r["touched"])
+        return sorted(out)
+
     # ---- change feed ----------------------------------------------------------
     def read_changes(self, name: str, after: int | None, upto: int | None = None,
                      change_types=("insert",), with_meta: bool = False) -> DataFrame:
