@@ -103,20 +103,24 @@ def summary_from_rollup(rollup: DataFrame, as_of, tiers=DEFAULT_TIERS,
     if run_ts is None:
         run_ts = dt.datetime.combine(as_of if isinstance(as_of, dt.date)
                                      else dt.date.fromisoformat(as_of), dt.time())
-    per_channel = (rollup.where(F.col("channel").isNotNull())
-                         .groupBy(key, "channel").agg(F.sum("n").alias("cn")))
-    preferred = per_channel.groupBy(key).agg(
-        F.min_by("channel", F.struct((-F.col("cn")).alias("k"), F.col("channel")))
-        .alias("preferred_channel"))
-    agg = rollup.groupBy(key).agg(
+    # (member, channel) grain first, then member: the preferred channel is
+    # the non-NULL channel with the highest count, ties to the smallest.
+    per_channel = rollup.groupBy(key, "channel").agg(
+        F.sum("n").alias("n"), F.sum("spend").alias("spend"), F.sum("cents").alias("cents"),
+        F.sum("earned").alias("earned"), F.sum("redeemed").alias("redeemed"),
+        F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
+    rank = F.struct(F.col("channel").isNull().alias("no_channel"), (-F.col("n")).alias("k"),
+                    F.col("channel"))
+    agg = per_channel.groupBy(key).agg(
         F.sum("n").alias("total_transactions"),
         F.sum("spend").cast("decimal(20,2)").alias("lifetime_spend"),
         F.max("last_date").alias("last_active_date"),
         F.min("first_date").alias("_first_date"),
         F.sum("earned").alias("total_points_earned"),
         F.sum("redeemed").alias("total_points_redeemed"),
-        F.sum("cents").alias("_cents"))
-    return _finish(agg.join(preferred, key, "left"), as_of_col, tiers, run_ts, key)
+        F.sum("cents").alias("_cents"),
+        F.min_by("channel", rank).alias("preferred_channel"))
+    return _finish(agg, as_of_col, tiers, run_ts, key)
 
 
 def affected_keys(changes: DataFrame, key: str = "member_id") -> DataFrame:
