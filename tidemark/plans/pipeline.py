@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import DEFAULT_TIERS, month_of, to_date_lit
 from tidemark.operators.dedup import TRANSACTION_TIEBREAK, ingest_order, latest_per_key
-from tidemark.operators.quality import (default_suite, duplicate_keys, expectation_report,
-                                        gate, split_rules)
+from tidemark.operators.quality import default_suite, expectation_report, gate, split_rules
 from tidemark.operators.schema import reconcile_schema
 from tidemark.operators.scd2 import apply_tier_changes, init_history
 from tidemark.operators.summary import (affected_keys, member_rollup, summary_from_rollup,

@@ -18,8 +18,8 @@ from tidemark.functions.exprs import month_of
 from tidemark.operators.dedup import TRANSACTION_TIEBREAK, ingest_order, latest_per_key
 from tidemark.operators.enrich import enrich
 from tidemark.operators.merge import CHANGE_TYPE, capture_changes, upsert
-from tidemark.operators.quality import (default_suite, duplicate_keys, expectation_report,
-                                        split_rules)
+from tidemark.operators.quality import (default_suite, dq_sample, duplicate_keys,
+                                        expectation_report, split_rules)
 from tidemark.operators.schema import reconcile_schema
 from tidemark.operators.scd2 import tier_as_of, tier_changes
 from tidemark.operators.summary import affected_keys
@@ -28,7 +28,10 @@ from tidemark.plans import oracles as o
 from tidemark.plans import pipeline as pl
 from tidemark.plans.queries import TIERS, comparable, register
 from tidemark.plans.scenario import RUNS, scenario
+from tidemark.session import new_work_dir
 from tidemark.sources.adapters import landing_transactions, store_dim
+from tidemark.sources.tables import TableStore
+from tidemark.streaming.silver_stream import stream_silver
 
 # ---- scenario cut-offs (fixed, from scenario.RUNS) ---------------------------
 (A_DATE, A_UPTO, _), (B_DATE, B_UPTO, _), (C_DATE, C_UPTO, _) = RUNS
@@ -245,7 +248,6 @@ def q_dq_gate(spark, sf_dir):
 @register("dq_sample")
 def q_dq_sample(spark, sf_dir):
     """Rows-only: seeded sample of Silver for inspection (a sampling operator)."""
-    from tidemark.operators.quality import dq_sample
     silver = scenario(spark, sf_dir).read_table(pl.SILVER)
     return dq_sample(silver, max(silver.count(), 1))
 
@@ -484,8 +486,6 @@ def q_table_version(spark, sf_dir):
 @register("job_version_upsert", f"""
 SELECT 'bronze_ingestion' AS job_name, CAST({MAX_BATCH} AS BIGINT) AS last_processed_version""")
 def q_job_version_upsert(spark, sf_dir):
-    from tidemark.session import new_work_dir
-    from tidemark.sources.tables import TableStore
     store = TableStore(spark, new_work_dir(spark, "jobversions"))
     batches = (landing_transactions(spark, sf_dir).where(F.col("batch_id") <= C_UPTO)
                .agg(F.max("batch_id").alias("b"), F.min("batch_id").alias("a")).collect()[0])
@@ -524,7 +524,6 @@ def q_recent_runs(spark, sf_dir):
 @register("stream_silver", f"WITH {BASE} SELECT {SEL_SILVER} FROM silver")
 def q_stream_silver(spark, sf_dir):
     """Landing drained through the availableNow stream into its own Silver."""
-    from tidemark.streaming.silver_stream import stream_silver
     store = scenario(spark, sf_dir)
     store.refresh()
     if not store.exists("silver_stream"):
