@@ -166,3 +166,13 @@ def test_sql_views_over_published_tables(spark, built):
         WHERE h1.current_tier != h2.current_tier""")
     from tidemark.plans.analytics import tier_velocity
     assert velocity.count() == tier_velocity(store.read_table(pl.HISTORY)).count()
+
+
+def test_history_keeps_closed_folders(built):
+    store, _ = built
+    v2, v3 = store.version_info(pl.HISTORY, 2), store.version_info(pl.HISTORY, 3)
+    closed2 = [p for p in v2.parts if p.endswith("is_current=false")]
+    closed3 = [p for p in v3.parts if p.endswith("is_current=false")]
+    assert closed2 and set(closed2) < set(closed3)          # appended, not rewritten
+    assert [p for p in v3.parts if p.endswith("is_current=true")] == \
+        [p for p in v3.parts if "/tm_version=3/" in p and p.endswith("is_current=true")]

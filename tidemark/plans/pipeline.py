@@ -246,15 +246,20 @@ def run_gold(store: TableStore, as_of, run_ts, cfg: Config | None = None,
 
 
 def run_history(store: TableStore, as_of) -> dict:
+    """SCD2 step. The history is partitioned by ``is_current``: closed periods
+    never change again, so a run reads and rewrites only the open periods
+    (member-sized) and adds one folder with the periods it closed; earlier
+    closed folders are referenced as they are."""
     gold = store.read_table(GOLD).select("member_id", "current_tier")
     if not store.exists(HISTORY):
-        version = store.create(init_history(gold, as_of), HISTORY)
+        version = store.create(init_history(gold, as_of), HISTORY, partition_by="is_current")
         return _result("history", "ok", mode="init", history_version=version)
-    history = store.read_table(HISTORY)
-    new_history, changes = apply_tier_changes(history, gold, as_of)
-    staged = store.stage(new_history, "history")
+    open_rows = store.read_table(HISTORY, partitions=["true"])
+    new_rows, changes = apply_tier_changes(open_rows, gold, as_of)
+    staged = store.stage(new_rows, "history")
     staged_changes = store.stage(changes, "history-changes")
-    version = store.publish(staged, HISTORY, changes=staged_changes, operation="SCD2")
+    version = store.publish_partitions(staged, HISTORY, "is_current", replace=["true"],
+                                       changes=staged_changes, operation="SCD2")
     return _result("history", "ok", mode="apply", history_version=version)
 
 

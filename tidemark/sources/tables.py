@@ -421,6 +421,34 @@ class TableStore:
                                         "rows_updated": 0, "rows_deleted": 0})
         return version
 
+    def publish_partitions(self, df: DataFrame, name: str, partition_by: str,
+                           replace=(), changes: DataFrame | None = None,
+                           operation: str = "WRITE_PARTITIONS") -> int:
+        """New version from ``df`` (partitioned by ``partition_by``).
+
+        Partition values in ``replace`` are replaced by ``df``'s rows; for any
+        other value ``df``'s rows are added next to the folders the previous
+        version already has (append). Only ``df`` is written.
+        """
+        info = self.version_info(name)
+        if info is None:
+            return self.create(df, name, partition_by)
+        version = info.version + 1
+        drop = {f"{partition_by}={v}" for v in replace}
+        keep = [p for p in info.parts if p.rsplit("/", 1)[-1] not in drop]
+        parts, rows = self._write_version(df, name, version, partition_by, None)
+        metrics = self._write_changes(name, version, changes) if changes is not None else {}
+        self._write_log(name, version, {"operation": operation, "kind": "keyed",
+                                        "partition_by": partition_by,
+                                        "parts": sorted(keep + parts),
+                                        "feed_parts": [] if changes is not None else parts,
+                                        "has_feed": changes is not None,
+                                        "schema_json": df.schema.json(),
+                                        "touched": sorted({p.rsplit("=", 1)[-1] for p in parts}
+                                                          | {str(v) for v in replace}),
+                                        "rows_written": rows, **metrics})
+        return version
+
     def touched_partitions(self, name: str, after: int | None, upto: int | None) -> list | None:
         """Partition values rewritten by versions in (after, upto]; None when a
         version in the range did not record them (treat as: all)."""
