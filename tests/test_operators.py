@@ -144,3 +144,23 @@ def test_summary_from_rollup_equals_direct_summary(spark):
     via = summary_from_rollup(member_rollup(silver), as_of).drop("last_updated_ts")
     assert dict(direct.dtypes) == dict(via.dtypes)
     assert rows(direct) == rows(via)
+
+
+def test_store_join_match_rate_on_driver_tables(spark):
+    from conftest import SF_SMALL
+    from tidemark.operators.enrich import match_rate
+    from tidemark.sources.adapters import landing_transactions, store_dim
+    r = match_rate(landing_transactions(spark, SF_SMALL), store_dim(spark, SF_SMALL),
+                   "store_id").first()
+    assert r["fact_rows"] > 0 and r["matched_rows"] == r["fact_rows"]
+
+
+def test_reconcile_keeps_rounding_casts(spark):
+    """Only casts that turn a value into NULL are quarantined; 1.239 -> 1.24 passes."""
+    from pyspark.sql.types import DecimalType, StructField, StructType
+    from tidemark.operators.schema import reconcile_schema
+    target = StructType([StructField("amount", DecimalType(10, 2))])
+    df = spark.createDataFrame([("1.239",), ("x",), (None,)], "amount string")
+    good, bad = reconcile_schema(df, target)
+    assert sorted(r["amount"] for r in good.collect() if r["amount"] is not None) == [Decimal("1.24")]
+    assert good.count() == 2 and [r["raw_row"] for r in bad.collect()] == ['{"amount":"x"}']
