@@ -50,6 +50,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("committed_at", T.TimestampType()),
     T.StructField("schema_json", T.StringType()),
     T.StructField("touched", T.ArrayType(T.StringType())),  # partition values rewritten
+    T.StructField("state", T.MapType(T.StringType(), T.LongType())),  # control state
 ])
 
 
@@ -71,7 +72,6 @@ class TableStore:
         self.root = root.rstrip("/")
         self._clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
         self._log_cache: list[dict] | None = None
-        self._jobs_cache: dict | None = None
 
     # ---- paths and log ------------------------------------------------------
     def path(self, name: str) -> str:
@@ -116,7 +116,6 @@ class TableStore:
     def refresh(self) -> None:
         """Forget cached state (another process may have published)."""
         self._log_cache = None
-        self._jobs_cache = None
 
     def _log_rows(self) -> list[dict]:
         # The log holds one small row per version; it is read once per store
@@ -256,6 +255,10 @@ class TableStore:
         info = self.version_info(name, version)
         if info is None:
             raise FileNotFoundError(f"table {name} has no published version")
+        if info.kind == "state":
+            return self.spark.createDataFrame(
+                sorted(self._state(name, info.version).items()),
+                "job_name string, last_processed_version long")
         if info.kind == "append":
             upto = info.version
             return self.read_batches(name, None, upto)
@@ -508,27 +511,32 @@ class TableStore:
         return out if with_meta else out.drop(CHANGE_TYPE, "_commit_version")
 
     # ---- job versions (control table) ---------------------------------------
+    def _state(self, name: str, version: int) -> dict:
+        rows = [r for r in self._entries(name) if int(r["version"]) == int(version)]
+        return dict(rows[0]["state"] or {}) if rows else {}
+
     def job_versions(self) -> dict:
-        """job_name -> last processed version (bounded: one row per job)."""
-        if self._jobs_cache is None:
-            self._jobs_cache = {} if not self.exists(JOB_VERSIONS) else {
-                r["job_name"]: int(r["last_processed_version"])
-                for r in self.read_table(JOB_VERSIONS).collect()}
-        return dict(self._jobs_cache)
+        """job_name -> last processed version (bounded: one entry per job)."""
+        v = self.current_version(JOB_VERSIONS)
+        return {} if v is None else {k: int(x) for k, x in self._state(JOB_VERSIONS, v).items()}
 
     def get_last_version(self, job: str) -> int | None:
         """None means: no state (first run or lost control table) -> full load."""
         return self.job_versions().get(job)
 
     def save_version(self, job: str, version: int) -> int:
-        """Record the job's processed-up-to version; call only after the write."""
+        """Record the job's processed-up-to version; call only after the write.
+
+        The whole control table is one small map stored in a new version-log
+        row: saving is a single atomic publication.
+        """
         state = self.job_versions()
         state[job] = int(version)
-        df = self.spark.createDataFrame(sorted(state.items()),
-                                        "job_name string, last_processed_version long")
-        version = self.create(df.coalesce(1), JOB_VERSIONS, operation="SAVE_VERSION")
-        self._jobs_cache = state
-        return version
+        v = (self.current_version(JOB_VERSIONS) or 0) + 1
+        self._write_log(JOB_VERSIONS, v, {"operation": "SAVE_VERSION", "kind": "state",
+                                          "parts": [], "feed_parts": [], "has_feed": False,
+                                          "state": state, "rows_written": len(state)})
+        return v
 
     def register_views(self, views: dict) -> list[str]:
         """Temp views (view name -> table) over the latest published versions,
