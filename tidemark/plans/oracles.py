@@ -123,7 +123,8 @@ def gold_cte(name: str, src: str, as_of, tiers) -> str:
          {tier_case('lifetime_spend', tiers)} AS current_tier,
          {rounded('cents * 365', "datediff('day', first_date, last_active_date) * 100")}
            AS annual_ltv,
-         datediff('day', last_active_date, {date_lit(as_of)}) AS days_since_last_txn,
+         CAST(datediff('day', last_active_date, {date_lit(as_of)}) AS INTEGER)
+           AS days_since_last_txn,
          {rounded('cents', 'total_transactions * 100')} AS avg_transaction_value,
          p.preferred_channel
   FROM {name}_agg a LEFT JOIN {name}_pref p ON a.member_id = p.member_id)"""

@@ -445,7 +445,7 @@ def q_tier_as_of(spark, sf_dir):
 @register("tier_velocity", f"""WITH {BASE},\n{GOLDS},\n{HIST}
 SELECT h1.member_id, h1.current_tier AS from_tier, h2.current_tier AS to_tier,
        h1.effective_date AS downgraded_or_upgraded_on, h2.effective_date AS changed_on,
-       datediff('day', h1.effective_date, h2.effective_date) AS days_in_previous_tier
+       CAST(datediff('day', h1.effective_date, h2.effective_date) AS INTEGER) AS days_in_previous_tier
 FROM hist h1 JOIN hist h2 ON h1.member_id = h2.member_id
  AND h2.effective_date = h1.expiry_date + 1
 WHERE h1.current_tier <> h2.current_tier""")
