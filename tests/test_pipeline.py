@@ -176,3 +176,22 @@ def test_history_keeps_closed_folders(built):
     assert closed2 and set(closed2) < set(closed3)          # appended, not rewritten
     assert [p for p in v3.parts if p.endswith("is_current=true")] == \
         [p for p in v3.parts if "/tm_version=3/" in p and p.endswith("is_current=true")]
+
+
+def test_append_feed_ranges_and_next_batch_date(spark, store):
+    from tidemark.functions.dates import next_batch_date
+    df = spark.createDataFrame([(i, f"r{i}", 202401 + i % 3) for i in range(9)],
+                               "id int, v string, batch_id int")
+    assert store.append_batches(df, "land") == [202401, 202402, 202403]
+    assert store.current_version("land") == 202403
+    feed = store.read_changes("land", 202401, 202403, ("insert",), with_meta=True)
+    assert sorted({r["_commit_version"] for r in feed.collect()}) == [202402, 202403]
+    assert feed.count() == 6
+    # retrying a batch replaces its folder instead of appending twice
+    store.append_batches(df.where("batch_id = 202402"), "land")
+    assert store.read_batches("land").count() == 9
+    empty = spark.createDataFrame([], "transaction_date date")
+    assert next_batch_date(empty, default=dt.date(2024, 5, 1)).first()[0] == dt.date(2024, 5, 1)
+    days = spark.createDataFrame([(dt.date(2024, 1, 30),), (dt.date(2024, 1, 31),)],
+                                 "transaction_date date")
+    assert next_batch_date(days).first()[0] == dt.date(2024, 2, 1)
