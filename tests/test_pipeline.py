@@ -90,6 +90,7 @@ def test_nothing_new_exits_early_and_rerun_is_idempotent(spark, built):
     assert pl.run_bronze(store, run_ts, upto)["status"] == "skipped"
     assert pl.run_silver(store, run_ts)["status"] == "skipped"
     assert pl.run_gold(store, as_of, run_ts, sc.SCENARIO_CONFIG)["status"] == "skipped"
+    assert pl.run_history(store, as_of)["status"] == "skipped"
     # rerun of an old business date: older copies never replace newer ones
     some_day = store.read_table(pl.SILVER).agg(F.min("transaction_date")).first()[0]
     pl.run_silver(store, run_ts, rerun_date=some_day)

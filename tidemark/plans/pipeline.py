@@ -250,9 +250,14 @@ def run_history(store: TableStore, as_of) -> dict:
     never change again, so a run reads and rewrites only the open periods
     (member-sized) and adds one folder with the periods it closed; earlier
     closed folders are referenced as they are."""
+    last = store.get_last_version(JOB_HISTORY)
+    current = store.current_version(GOLD)
+    if last is not None and store.exists(HISTORY) and last >= current:
+        return _result("history", "skipped", reason="no new gold versions")
     gold = store.read_table(GOLD).select("member_id", "current_tier")
     if not store.exists(HISTORY):
         version = store.create(init_history(gold, as_of), HISTORY, partition_by="is_current")
+        store.save_version(JOB_HISTORY, current)
         return _result("history", "ok", mode="init", history_version=version)
     open_rows = store.read_table(HISTORY, partitions=["true"])
     new_rows, changes = apply_tier_changes(open_rows, gold, as_of)
@@ -260,6 +265,7 @@ def run_history(store: TableStore, as_of) -> dict:
     staged_changes = store.stage(changes, "history-changes")
     version = store.publish_partitions(staged, HISTORY, "is_current", replace=["true"],
                                        changes=staged_changes, operation="SCD2")
+    store.save_version(JOB_HISTORY, current)
     return _result("history", "ok", mode="apply", history_version=version)
 
 
