@@ -9,11 +9,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, token_counts
+from tidemark.llm import chat, decontaminate, mixing, quality, token_counts, topk, warc
 from tidemark.llm.stage import read
 
 
+def op1_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+#: Conversation -7 of the contract: texts that look like the template's own control strings.
+PROBE = r"\### Assistant: </turn> ok"
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
+    return chat.read_back(chat.format_chats(rows.union(probe)))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(read(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -24,13 +40,90 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.scan(docs, read(spark, sf_dir, "benchmark")))
 
 
+def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.fixity_audit(read(spark, sf_dir, "pages"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"))
 
 
+def op10_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+OP1_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+OP2_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, len(text) + len(regexp_extract_all(text, '\\|</turn>')) AS base,
+             list_sum(list_transform(regexp_extract_all(text, '##+'), lambda x: len(x) - 2)) AS hashes FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(4 + len(role) + 2 + base + coalesce(hashes, 0) + 9) AS BIGINT) AS formatted_chars,
+       false AS rewrites_history
+FROM e GROUP BY conv_id
+"""
+
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+g AS (SELECT DISTINCT item, least(13, len(w)) AS k, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS phrase
+      FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+p AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS phrase
+      FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM g) WHERE len(w) >= k)),
+h AS (SELECT doc_id, i, k, item FROM p JOIN g USING (k, phrase)),
+n AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS x FROM h) GROUP BY doc_id),
+s AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+OP6_SQL = r"""
+WITH r AS (SELECT page_id, url, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Date: 1970-01-01T00:00:00Z'
+                  || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+                  || coalesce(CAST(page_id AS VARCHAR), '') || '>' || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+                  || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
+                  || chr(13) || chr(10) || chr(13) || chr(10) AS a FROM pages),
+p AS (SELECT page_id, url, strlen(a) AS length, sha256(a) AS sha_a, a, row_number() OVER (ORDER BY page_id NULLS FIRST, url NULLS FIRST, sha256(a)) - 1 AS rank FROM r),
+crc AS (SELECT range AS b, list_reduce(list_concat([CAST(range AS BIGINT)], range(8)), lambda c, y: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256)),
+t AS (SELECT list(v ORDER BY b) AS tab FROM crc),
+k AS (SELECT p.*, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(page_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+              lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) % 50 AS rule FROM p, t),
+l AS (SELECT CAST(floor(rank / 256) AS BIGINT) AS file, rank % 256 AS slot, length, sha_a,
+             CASE rule WHEN 0 THEN sha256(a || chr(13) || chr(10)) WHEN 1 THEN sha256(left(a, len(a) - 1)) WHEN 2 THEN NULL ELSE sha_a END AS sha_b FROM k),
+o AS (SELECT *, coalesce(sum(length) OVER (PARTITION BY file ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM l),
+n AS (SELECT file, slot // 16 AS node, count(*) AS n, sum(length) AS bytes,
+             sha256(string_agg(slot || ':' || sha_a, ',' ORDER BY slot)) AS ha, sha256(string_agg(slot || ':' || sha_b, ',' ORDER BY slot)) AS hb,
+             count(*) FILTER (sha_a IS DISTINCT FROM sha_b) AS bad,
+             string_agg(CAST(off AS VARCHAR) || ':' || CASE WHEN sha_b IS NULL THEN 'missing' ELSE 'changed' END, ',' ORDER BY off) FILTER (sha_a IS DISTINCT FROM sha_b) AS damaged
+      FROM o GROUP BY ALL),
+f AS (SELECT file, CAST(sum(n) AS BIGINT) AS n_records, CAST(sum(bytes) AS BIGINT) AS n_bytes,
+             sha256(string_agg(node || ':' || ha, ',' ORDER BY node)) AS root_a, sha256(string_agg(node || ':' || hb, ',' ORDER BY node)) AS root_b,
+             CAST(1 + CASE WHEN sum(bad) > 0 THEN count(*) + coalesce(sum(n) FILTER (bad > 0), 0) ELSE 0 END AS BIGINT) AS n_compared,
+             CAST(sum(bad) AS BIGINT) AS n_damaged, coalesce(string_agg(damaged, ',' ORDER BY node), '') AS damaged FROM n GROUP BY file)
+SELECT * FROM f
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_source_mix, op5_decontaminate, op7_token_counts)}
+    return {f.__name__: f for f in (op1_block_topk, op2_chat_format, op4_source_mix, op5_decontaminate, op6_warc_fixity,
+                                    op7_token_counts, op10_quality_knn)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_block_topk": OP1_SQL, "op2_chat_format": OP2_SQL, "op5_decontaminate": OP5_SQL, "op6_warc_fixity": OP6_SQL}
