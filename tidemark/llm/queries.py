@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, mixing, quality, token_counts, topk, warc
+import corpus_pipeline
+from tidemark.llm import chat, decontaminate, jaccard_join, mixing, quality, rlz_dedup, suffix_dedup, token_counts, topk, warc
 from tidemark.llm.stage import read
 
 
@@ -30,6 +31,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(rows.union(probe)))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(read(spark, sf_dir, "documents"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(read(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -48,6 +53,15 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed_bytes(read(spark, sf_dir, "documents"))
+
+
+def op9_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # how a document falls into factors depends on where blocks begin, so only the exact columns
+    return rlz_dedup.removed_words(read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -120,10 +134,53 @@ SELECT * FROM f
 """
 
 
+OP3_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n p ON x = p.doc_id JOIN n q ON y = q.doc_id WHERE 100 * i >= 85 * (p.n + q.n - i)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+k AS (SELECT x, min(y) AS component_id FROM r GROUP BY x),
+m AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM d JOIN k ON k.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.x = d.doc_id
+"""
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS p FROM d WHERE len(h) >= 100)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+r AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS new FROM w JOIN f USING (s) WHERE first < doc_id),
+g AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM r),
+s AS (SELECT doc_id, run, min(p) AS lo, max(p) + 50 AS hi FROM g GROUP BY ALL),
+k AS (SELECT doc_id, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS a, lo AS b FROM s
+      UNION ALL SELECT doc_id, max(hi), 1000000000 FROM s GROUP BY doc_id),
+t AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id),
+u AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(hi - lo) AS BIGINT) AS n_removed FROM s GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN t USING (doc_id) LEFT JOIN u USING (doc_id)
+"""
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+v AS (SELECT doc_id, p, array_to_string(w[p:p + 34], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+f AS (SELECT s FROM v GROUP BY s HAVING count(*) > 1),
+x AS (SELECT doc_id, list(DISTINCT q) AS gone FROM (SELECT doc_id, unnest(range(p, p + 35)) AS q FROM v SEMI JOIN f USING (s)) GROUP BY doc_id),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d)
+      ANTI JOIN (SELECT doc_id, unnest(gone) AS i FROM x) USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN x USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_block_topk, op2_chat_format, op4_source_mix, op5_decontaminate, op6_warc_fixity,
-                                    op7_token_counts, op10_quality_knn)}
+    found = {f.__name__: f for f in (op1_block_topk, op2_chat_format, op3_jaccard_join, op4_source_mix, op5_decontaminate, op6_warc_fixity,
+                                     op7_token_counts, op8_suffix_dedup, op9_rlz_dedup, op10_quality_knn)}
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_block_topk": OP1_SQL, "op2_chat_format": OP2_SQL, "op5_decontaminate": OP5_SQL, "op6_warc_fixity": OP6_SQL}
+    return {"op1_block_topk": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_jaccard_join": OP3_SQL, "op5_decontaminate": OP5_SQL,
+            "op6_warc_fixity": OP6_SQL, "op8_suffix_dedup": OP8_SQL, "op9_rlz_dedup": OP9_SQL}

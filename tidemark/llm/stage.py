@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import new_work_dir
@@ -49,3 +49,22 @@ def tasks(spark: SparkSession) -> int:
 def fingerprint(text: str = "text"):
     """A 32-byte key of a whole text; a null text counts as empty."""
     return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
+
+
+def ranked(df: DataFrame, order: list, scratch: Scratch, name: str = "ordered") -> DataFrame:
+    """``df`` with ``_rank``, 0 upwards in the given order; equal rows rank in any order.
+
+    A range partitioning by the order, ending in a row number so that even many equal rows are dealt
+    over all tasks, then each task's sorted rows are counted on from those before it: the only thing
+    that meets in one place is a count per partition.
+    """
+    placed = scratch.save(
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(tasks(df.sparkSession), *order, F.col("_tie")).sortWithinPartitions(*order, "_tie")
+        .drop("_tie").withColumn("_at", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_at", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = sizes.select(F.col("_part").alias("_p"), F.coalesce(
+        F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return (placed.join(before, part == F.col("_p"))
+            .withColumn("_rank", F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at", "_p", "_before"))

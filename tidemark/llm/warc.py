@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.stage import Scratch, tasks
+from tidemark.llm.stage import Scratch, ranked
 
 FANOUT = 16
 FILE_RECORDS = 256
@@ -40,26 +40,13 @@ def sha(c):
 def layout(leaves: DataFrame, scratch: Scratch, file_records: int = FILE_RECORDS) -> DataFrame:
     """Add file, slot (place in the file) and offset (bytes before it in the file) to rows of
     (page_id, url, length, sha_a, ...), in the order of (page_id, url, sha_a).
-
-    A range partitioning by the whole order, ending in a row number, deals even many equal rows over
-    all tasks; equal rows are interchangeable.
     """
-    spark = leaves.sparkSession
     order = [F.col("page_id").asc_nulls_first(), F.col("url").asc_nulls_first(), F.col("sha_a")]
-    leaves = leaves.withColumn("tie", F.monotonically_increasing_id())
-    placed = scratch.save(
-        leaves.repartitionByRange(tasks(spark), *order, F.col("tie")).sortWithinPartitions(*order, "tie")
-        .drop("tie").withColumn("at", F.monotonically_increasing_id()), "ordered")
-    part = F.shiftright("at", 33)
-    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    before = sizes.select(F.col("part").alias("p"), F.coalesce(
-        F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    rank = F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)
     in_file = Window.partitionBy("file").orderBy("slot")
-    return (placed.join(before, part == F.col("p")).withColumn("rank", rank)
-            .withColumn("file", F.floor(F.col("rank") / file_records)).withColumn("slot", F.pmod("rank", F.lit(file_records)))
+    return (ranked(leaves, order, scratch)
+            .withColumn("file", F.floor(F.col("_rank") / file_records)).withColumn("slot", F.pmod("_rank", F.lit(file_records)))
             .withColumn("offset", F.coalesce(F.sum("length").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .drop("at", "p", "before", "rank"))
+            .drop("_rank"))
 
 
 def tree(leaves: DataFrame, sha_col: str, file_records: int = FILE_RECORDS, fanout: int = FANOUT) -> list[DataFrame]:
