@@ -19,7 +19,6 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from os.path import commonprefix
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -72,38 +71,73 @@ PLAIN = Template(_render, _unescape, _parse)
 @dataclass
 class Rendered:
     output: str
-    turns: list[tuple[int, int]]        # span of each turn
+    turns: list[tuple[int, int]]        # span of each turn; with rewritten history, up to where its text ends
     texts: list[tuple[int, int]]        # span of each turn's text within it
     rewrites_history: bool
 
 
+def _alike(a: str, b: str) -> int:
+    """Length of the common prefix, by halving."""
+    lo, hi = 0, min(len(a), len(b))
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        if a[lo:mid] == b[lo:mid]:
+            lo = mid
+        else:
+            hi = mid - 1
+    return lo
+
+
 def _text_span(render, turns: list[Turn], i: int, output: str) -> tuple[int, int]:
     """Where the text of turn i stands in the output, by two probes in its place."""
     a, b = (render([*turns[:i], (turns[i][0], p), *turns[i + 1:]]) for p in _PROBES)
-    lo = len(commonprefix([a, b]))
+    lo = _alike(a, b)
     tail = a[lo + 1:]
     hi = len(output) - len(tail)
     if output[:lo] == a[:lo] and hi >= lo and output[hi:] == tail:
         return lo, hi
-    return lo, max(lo, len(output) - len(commonprefix([a[::-1], output[::-1]])))
-
-
-def render_incrementally(turns: list[Turn], render: Callable[[list[Turn]], str]) -> Rendered:
-    outputs_match, before, spans, texts = True, render([]), [], []
+    return lo, max(lo, len(output) - _alike(a[::-1], output[::-1]))
+
+
+def _frame(render, roles: tuple) -> tuple[str, str] | None:
+    """What stands before and after the text of a conversation's last turn within that turn's span,
+    seen on a conversation of the last two roles alone; None if the first turn's output changes."""
+    before = [(r, "") for r in roles[:-1]]
+    start = render(before)
+    a, b = (render([*before, (roles[-1], p)]) for p in _PROBES)
+    if not a.startswith(start):
+        return None
+    lo = _alike(a, b)
+    return a[len(start):lo], a[lo + 1:]
+
+
+def render_incrementally(turns: list[Turn], render: Callable[[list[Turn]], str], frames: dict | None = None) -> Rendered:
+    """Render every prefix once and compare it with the one before. Where a turn's text stands in its
+    span is looked up by its role and the one before (``frames`` keeps these between calls); a span
+    that doesn't begin and end as the lookup says is probed in its own place."""
+    frames = {} if frames is None else frames
+    before, spans, texts = render([]), [], []
     for i in range(len(turns)):
         now = render(turns[:i + 1])
         if not now.startswith(before):
-            outputs_match = False
             break
-        spans.append((len(before), len(now)))
-        texts.append(_text_span(render, turns[:i + 1], i, now))
+        lo, hi = len(before), len(now)
+        roles = tuple(r for r, _ in turns[max(0, i - 1):i + 1])
+        if roles not in frames:
+            frames[roles] = _frame(render, roles)
+        frame = frames[roles]
+        if frame and hi - lo >= len(frame[0]) + len(frame[1]) and now.startswith(frame[0], lo) and now.endswith(frame[1]):
+            texts.append((lo + len(frame[0]), hi - len(frame[1])))
+        else:
+            texts.append(_text_span(render, turns[:i + 1], i, now))
+        spans.append((lo, hi))
         before = now
-    if outputs_match:
+    else:
         return Rendered(before, spans, texts, False)
     output = render(turns)
     texts = [_text_span(render, turns, i, output) for i in range(len(turns))]
-    starts = [0, *[hi for _, hi in texts[:-1]]]
-    return Rendered(output, [(lo, hi) for lo, hi in zip(starts, [*[hi for _, hi in texts[:-1]], len(output)])], texts, True)
+    ends = [*[hi for _, hi in texts[:-1]], len(output)]
+    return Rendered(output, list(zip([0, *ends[:-1]], ends)), texts, True)
 
 
 _SPAN = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
@@ -123,8 +157,8 @@ def format_chats(rows: DataFrame, template: Template = PLAIN, *, conv_id: str =
                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     id_type = rows.schema["conv_id"].dataType.simpleString()
 
-    def one(key, turns: list[Turn]) -> tuple:
-        r = render_incrementally(turns, template.render)
+    def one(key, turns: list[Turn], frames: dict) -> tuple:
+        r = render_incrementally(turns, template.render, frames)
         loss = [r.texts[i] for i in range(len(turns)) if turns[i][0] in trained]
         return key, r.output, [dict(lo=a, hi=b) for a, b in r.turns], [dict(lo=a, hi=b) for a, b in loss], r.rewrites_history
 
@@ -135,12 +169,12 @@ def format_chats(rows: DataFrame, template: Template = PLAIN, *, conv_id: str =
              pa.array(cols[4], pa.bool_())], ["conv_id", "formatted", "turn_spans", "loss_spans", "rewrites_history"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, turns, done, held, kind = None, [], [], 0, pa.int64()
+        key, turns, done, held, kind, frames = None, [], [], 0, pa.int64(), {}
         for b in batches:
             kind = b.schema.field(0).type
             for k, r, t in zip(*(b.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
                 if turns and k != key:
-                    done.append(one(key, turns))
+                    done.append(one(key, turns, frames))
                     held += len(done[-1][1])
                     turns = []
                     if held > 1 << 22:
@@ -149,7 +183,7 @@ def format_chats(rows: DataFrame, template: Template = PLAIN, *, conv_id: str =
                 key = k
                 turns.append((r, t))
         if turns:
-            done.append(one(key, turns))
+            done.append(one(key, turns, frames))
         if done:
             yield batch(done, kind)
 

@@ -52,7 +52,7 @@ def sainte_lague(votes: np.ndarray, seats: int, caps: np.ndarray | None = None)
     """Seats by highest quotients votes / (2k + 1), at most ``caps`` each; of equal quotients the
     earlier index wins. Works on the threshold quotient, never on single seats."""
     votes = np.asarray(votes, dtype=np.float64)
-    caps = np.full(len(votes), np.iinfo(np.int64).max // 4) if caps is None else np.asarray(caps, np.int64)
+    caps = np.full(len(votes), seats, np.int64) if caps is None else np.minimum(np.asarray(caps, np.int64), seats)
     caps = np.where(votes > 0, caps, 0)
     seats = int(min(seats, caps.sum()))
     if seats <= 0:
