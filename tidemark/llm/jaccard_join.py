@@ -36,7 +36,7 @@ GROUPS = 64
 NODE = 1024
 LEAF = 32
 SAMPLE = 4              # of so many hashes one takes part in the root's bound
-RANGE_KEYS = 1 << 21
+RANGE_KEYS = 1 << 19
 
 
 # -- texts to sets ------------------------------------------------------------

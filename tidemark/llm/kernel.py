@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15 | 3          # odd, so that it has an inverse

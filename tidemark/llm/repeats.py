@@ -30,7 +30,7 @@ from tidemark.llm.stage import Scratch, tasks
 CELL_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
 #: Hashes that a task of an exchange sorts at once, about.
-RANGE_KEYS = 1 << 21
+RANGE_KEYS = 1 << 19
 FIRST = -(1 << 63)
 
 OTHER, EARLIER, MANY = 1, 2, 4      # bits of a reply: in another cell; in an earlier cell; seed has many contexts
@@ -96,13 +96,18 @@ class Cells:
         self.table = spark.table(name)
         self.table.schema                        # resolved: the files stay, the name isn't needed any more
         spark.sql(f"DROP TABLE {name}")
+        scratch.release()
 
     def per_cell(self, work: Callable, schema: str, replies: DataFrame | None = None) -> DataFrame:
         """work(table of a cell, replies by kind) for every cell, beside the replies it was sent."""
+        def tidy(out: pa.Table) -> pa.Table:
+            pa.default_memory_pool().release_unused()
+            return out
+
         if replies is None:
-            return self.table.groupBy("_cell").applyInArrow(lambda t: work(t, {}), schema)
+            return self.table.groupBy("_cell").applyInArrow(lambda t: tidy(work(t, {})), schema)
         return (self.table.groupBy("_cell").cogroup(replies.groupBy("_cell"))
-                .applyInArrow(lambda t, r: work(t, _by_kind(r)), schema))
+                .applyInArrow(lambda t, r: tidy(work(t, _by_kind(r))), schema))
 
 
 def send(bits: int, keys: np.ndarray, cell: int, **payload: np.ndarray) -> pa.Table:

@@ -26,10 +26,16 @@ class Scratch:
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path)
+        self.release()
         out = self.spark.read.schema(df.schema).parquet(path)
         out._tidemark_path = path
         return out
 
+    def release(self) -> None:
+        """Shuffle files of what has just been written go when the driver collects its garbage; without
+        a request they would stay on the executors' disks for as long as the driver has heap to spare."""
+        self.spark._jvm.System.gc()
+
     def drop(self, *tables: DataFrame) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for t in tables:

@@ -39,7 +39,8 @@ from tidemark.llm.repeats import EARLIER, MANY
 from tidemark.llm.stage import Scratch
 
 WINDOW = 50
-SEED = 12
+#: Long enough that a seed in common is seldom chance, short enough that anchors stay 16 bytes apart.
+SEED = 20
 #: Contexts of one seed up to which they are sorted together in a task.
 HOT_CONTEXTS = 20_000
 #: Tuples that are induced together: whole groups of seeds until there are so many.
@@ -124,7 +125,7 @@ def removed_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
         return pa.table({k: pa.array(v, kinds.get(k, pa.int64())) for k, v in rows.items()})
 
     tuples = scratch.save(cells.per_cell(send_tuples, _TUPLE, replies), "tuples")
-    lost = scratch.save(_later_windows(tuples, window, hot), "windows")
+    lost = scratch.save(_later_windows(tuples, scratch, window, hot), "windows")
     third = lost.groupBy("_cell").applyInArrow(_pack_places, repeats.REPLY)
     replies = replies.unionByName(third)
 
@@ -192,13 +193,16 @@ def _pack_places(t: pa.Table) -> pa.Table:
 
 # -- the sorted suffixes ------------------------------------------------------
 
-def _later_windows(tuples: DataFrame, window: int, hot: int) -> DataFrame:
+def _later_windows(tuples: DataFrame, scratch: Scratch, window: int, hot: int) -> DataFrame:
     """(_cell, place, mask): bit d tells that the window which starts d bytes before the sampled
     suffix also starts in an earlier document."""
-    frequent = tuples.groupBy("seed").agg(F.count("*").alias("n")).where(F.col("n") > hot).select(F.col("seed").alias("hot_seed"))
-    marked = tuples.join(frequent, F.col("seed") == F.col("hot_seed"), "left")
+    frequent = scratch.save(tuples.groupBy("seed").agg(F.count("*").alias("n")).where(F.col("n") > hot).select(F.col("seed").alias("hot_seed")), "hot-seeds")
+    any_hot = frequent.limit(1).count() > 0
+    marked = tuples.join(frequent, F.col("seed") == F.col("hot_seed"), "left") if any_hot else tuples.withColumn("hot_seed", F.lit(None))
     usual = (marked.where(F.col("hot_seed").isNull()).drop("hot_seed").repartition("seed")
              .sortWithinPartitions("seed", "after").mapInArrow(_induce(window), "_cell long, place long, mask long"))
+    if not any_hot:
+        return usual
     each = marked.where(F.col("hot_seed").isNotNull()).select(
         "_cell", "place", "ord", F.length("before").alias("b"), F.concat("before", "after").alias("c"),
         F.explode(F.sequence("least", "most")).alias("d"))
