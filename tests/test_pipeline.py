@@ -69,7 +69,7 @@ def test_partition_scoped_merge_reuses_untouched_folders(spark, store):
                                 "k string, v int, m string")
     v2 = store.merge(src, "t", ["k"], partition_by="m")
     p1, p2 = store.version_info("t", v1).parts, store.version_info("t", v2).parts
-    reused = sorted(p for p in p2 if "/tm_version=1/" in p)
+    reused = sorted(p for p in p2 if "/tm_version=1-" in p)
     assert [p.rsplit("/", 1)[-1] for p in reused] == ["m=2024-01", "m=2024-03"]
     assert set(reused) <= set(p1)
     assert rows(store.read_table("t")) == [("a", 1, "2024-01"), ("b", 20, "2024-02"),
@@ -87,7 +87,7 @@ def test_nothing_new_exits_early_and_rerun_is_idempotent(spark, built):
     store, _ = built
     as_of, upto, run_ts = sc.RUNS[-1]
     before = rows(store.read_table(pl.SILVER).drop("ingested_at"))
-    assert pl.run_bronze(store, run_ts, upto)["status"] == "skipped"
+    assert pl.run_bronze(store, run_ts)["status"] == "skipped"
     assert pl.run_silver(store, run_ts)["status"] == "skipped"
     assert pl.run_gold(store, as_of, run_ts, sc.SCENARIO_CONFIG)["status"] == "skipped"
     assert pl.run_history(store, as_of)["status"] == "skipped"
@@ -98,25 +98,23 @@ def test_nothing_new_exits_early_and_rerun_is_idempotent(spark, built):
 
 
 def test_crash_before_save_version_is_retried(spark, store, monkeypatch):
-    land = landing_transactions(spark, SF_SMALL)
+    land = landing_transactions(spark, SF_SMALL).where("transaction_date < '1995-02-15'")
     pl.load_landing(store, land)
     run_ts = dt.datetime(2002, 1, 1)
     real = store.save_version
-    calls = {"n": 0}
 
     def failing(job, v):
-        calls["n"] += 1
         raise RuntimeError("crash after write, before save_version")
 
     monkeypatch.setattr(store, "save_version", failing)
     with pytest.raises(RuntimeError):
         pl.run_bronze(store, run_ts)
     monkeypatch.setattr(store, "save_version", real)
-    first = pl.run_bronze(store, run_ts)          # same input again: no double ingest
-    assert first["status"] == "ok"
-    assert store.read_table(pl.BRONZE).count() <= land.count() * 2
+    assert pl.run_bronze(store, run_ts)["status"] == "skipped"      # the load is there already
+    assert store.read_table(pl.BRONZE).drop("ingested_at", "load_id").exceptAll(land).isEmpty() and store.read_table(pl.BRONZE).count() == land.count()
     assert store.get_last_version(pl.JOB_BRONZE) == store.current_version(pl.LANDING)
-    # a retried load writes the same rows; Silver's key merge absorbs the copy
+    pl.load_landing(store, land.limit(7))
+    assert pl.run_bronze(store, run_ts)["rows"] == 7                # only the new commit
     pl.run_silver(store, run_ts)
     silver = store.read_table(pl.SILVER)
     assert silver.groupBy("transaction_id").count().where("count > 1").count() == 0
@@ -125,7 +123,7 @@ def test_crash_before_save_version_is_retried(spark, store, monkeypatch):
 def test_stream_matches_batch_silver_and_replays_safely(spark, built):
     from tidemark.streaming.silver_stream import stream_silver
     store, _ = built
-    info = stream_silver(spark, store, "silver_stream_t", max_files_per_trigger=50)
+    info = stream_silver(spark, store, "silver_stream_t", max_commits_per_trigger=2)
     assert info["batches"] >= 1
     s = store.read_table("silver_stream_t").drop("ingested_at")
     b = store.read_table(pl.SILVER).drop("ingested_at")
@@ -134,12 +132,12 @@ def test_stream_matches_batch_silver_and_replays_safely(spark, built):
     assert rows(store.read_table("silver_stream_t").drop("ingested_at")) == rows(s)
 
 
-def test_gate_checks_changed_keys_and_catches_duplicates(spark, built):
+def test_gate_scans_everything_and_catches_duplicates(spark, built):
     from tidemark.operators.quality import GateFailed
-    store, results = built
-    scopes = [[r.get("uniqueness_scope") for r in run if r["stage"] == "gate"][0]
-              for run in results]
-    assert scopes[0] == "full" and scopes[1] == "changed"
+    store, _ = built
+    n = store.read_table(pl.SILVER).count()
+    report = {r["expectation"]: r["element_count"] for r in store.read_table(pl.GATE).collect()}
+    assert report["unique_transaction_id"] == report["not_null_member_id"] == n
     # plant a duplicate through a raw publication (bypassing the keyed merge)
     silver = store.read_table(pl.SILVER)
     dup = silver.limit(1)
@@ -176,23 +174,132 @@ def test_history_keeps_closed_folders(built):
     closed3 = [p for p in v3.parts if p.endswith("is_current=false")]
     assert closed2 and set(closed2) < set(closed3)          # appended, not rewritten
     assert [p for p in v3.parts if p.endswith("is_current=true")] == \
-        [p for p in v3.parts if "/tm_version=3/" in p and p.endswith("is_current=true")]
+        [p for p in v3.parts if "/tm_version=3-" in p and p.endswith("is_current=true")]
 
 
 def test_append_feed_ranges_and_next_batch_date(spark, store):
     from tidemark.functions.dates import next_batch_date
     df = spark.createDataFrame([(i, f"r{i}", 202401 + i % 3) for i in range(9)],
                                "id int, v string, batch_id int")
-    assert store.append_batches(df, "land") == [202401, 202402, 202403]
-    assert store.current_version("land") == 202403
-    feed = store.read_changes("land", 202401, 202403, ("insert",), with_meta=True)
-    assert sorted({r["_commit_version"] for r in feed.collect()}) == [202402, 202403]
+    assert [store.append(df.where(F.col("batch_id") == b), "land") for b in (202403, 202401, 202402)] == [(1, 3), (2, 3), (3, 3)]
+    feed = store.read_changes("land", 1, 3, ("insert",), with_meta=True)
+    assert sorted({(r["_commit_version"], r["batch_id"]) for r in feed.collect()}) == [(2, 202401), (3, 202402)]
     assert feed.count() == 6
-    # retrying a batch replaces its folder instead of appending twice
-    store.append_batches(df.where("batch_id = 202402"), "land")
+    # publishing a named commit again replaces it instead of appending twice
+    store.append(df.where("batch_id = 202402"), "land", version=3)
     assert store.read_batches("land").count() == 9
+    # a column added later is NULL in earlier commits
+    store.append(df.limit(1).withColumn("extra", F.lit(1.5)), "land")
+    assert [r["extra"] for r in store.read_batches("land").orderBy("extra").collect()] == [None] * 9 + [1.5]
     empty = spark.createDataFrame([], "transaction_date date")
     assert next_batch_date(empty, default=dt.date(2024, 5, 1)).first()[0] == dt.date(2024, 5, 1)
     days = spark.createDataFrame([(dt.date(2024, 1, 30),), (dt.date(2024, 1, 31),)],
                                  "transaction_date date")
     assert next_batch_date(days).first()[0] == dt.date(2024, 2, 1)
+
+
+# ---- crashes ------------------------------------------------------------------
+
+KV = "k string, v int, m string"
+
+
+def _tables(spark):
+    base = spark.createDataFrame([("a", 1, "2024-01"), ("b", 2, "2024-02")], KV)
+    crashed = spark.createDataFrame([("a", 9, "2024-01"), ("c", 9, "2024-01")], KV)
+    other = spark.createDataFrame([("b", 3, "2024-02"), ("d", 4, "2024-02")], KV)
+    return base, crashed, other
+
+
+@pytest.mark.parametrize("step", ["_write_version", "_write_changes", "_write_log"])
+def test_crashed_merge_leaves_no_trace(spark, store, monkeypatch, step):
+    base, crashed, other = _tables(spark)
+    store.create(base, "t", partition_by="m")
+    real = getattr(store, step)
+
+    def crash(*a, **kw):
+        if step != "_write_log":
+            real(*a, **kw)              # files are written, then the process dies
+        raise RuntimeError("crash")
+
+    monkeypatch.setattr(store, step, crash)
+    with pytest.raises(RuntimeError):
+        store.merge(crashed, "t", ["k"], partition_by="m")
+    monkeypatch.setattr(store, step, real)
+    assert rows(store.read_table("t")) == rows(base)
+    store.merge(other, "t", ["k"], partition_by="m")
+    assert rows(store.read_table("t")) == [("a", 1, "2024-01"), ("b", 3, "2024-02"), ("d", 4, "2024-02")]
+    feed = store.read_changes("t", 1, 2, ("insert", "update_postimage"))
+    assert rows(feed) == [("b", 3, "2024-02"), ("d", 4, "2024-02")]
+
+
+@pytest.mark.parametrize("write", ["replace_partitions", "publish_partitions", "append"])
+def test_crashed_writes_are_not_published_by_the_next(spark, store, monkeypatch, write):
+    base, crashed, other = _tables(spark)
+    store.append(base, "t") if write == "append" else store.create(base, "t", partition_by="m")
+    calls = {"replace_partitions": lambda df, m: store.replace_partitions(df, "t", "m", [m]),
+             "publish_partitions": lambda df, m: store.publish_partitions(df, "t", "m", replace=[m]),
+             "append": lambda df, m: store.append(df, "t")}
+    real = store._write_log
+    monkeypatch.setattr(store, "_write_log", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+    with pytest.raises(RuntimeError):
+        calls[write](crashed, "2024-01")
+    monkeypatch.setattr(store, "_write_log", real)
+    calls[write](other, "2024-02")
+    want = rows(base) + rows(other) if write == "append" else [("a", 1, "2024-01")] + rows(other)
+    assert rows(store.read_table("t")) == sorted(want)
+
+
+def test_unreadable_log_is_an_error(spark, store):
+    from tidemark.sources.tables import TableStore
+    base, crashed, _ = _tables(spark)
+    assert not store.exists("t")                    # no log folder yet: nothing is published
+    store.create(base, "t", partition_by="m")
+    folder = store.log_path("t").removeprefix("file:") + "/version=1"
+    with open(f"{folder}/part-broken.parquet", "wb") as f:
+        f.write(b"not parquet")
+    again = TableStore(spark, store.root)
+    with pytest.raises(Exception):
+        again.exists("t")
+    with pytest.raises(Exception):
+        again.merge(crashed, "t", ["k"], partition_by="m")
+    assert rows(store.read_table("t")) == rows(base)
+
+
+def test_merge_rejects_several_source_rows_per_key(spark, store):
+    base, _, _ = _tables(spark)
+    store.create(base, "t", partition_by="m")
+    twice = spark.createDataFrame([("a", 5, "2024-01"), ("a", 6, "2024-01")], KV)
+    with pytest.raises(Exception, match="several rows"):
+        store.merge(twice, "t", ["k"], partition_by="m")
+    assert rows(store.read_table("t")) == rows(base)
+
+
+def test_staged_copies_are_removed(spark, built):
+    from tidemark.session import list_folder, path_exists
+    store, _ = built
+    staging = f"{store.root}/_staging"
+    assert not path_exists(spark, staging) or len(list_folder(spark, staging)) <= 3
+
+
+def test_rerun_quarantines_and_reads_one_day(spark, store):
+    from tidemark.functions.dates import filter_dates
+    land = landing_transactions(spark, SF_SMALL).where("transaction_date between '1998-01-01' and '1998-01-20'")
+    run_ts = dt.datetime(2002, 1, 1)
+    first = F.dayofmonth("transaction_date") < 11
+    for part in (land.where(first), land.where(~first)):
+        pl.load_landing(store, part)
+        pl.run_bronze(store, run_ts)
+        pl.run_silver(store, run_ts)
+    rejected = "member_id is null or amount is null or amount <= 0"
+    day = land.where(rejected).agg(F.min("transaction_date")).first()[0]
+    before = store.read_batches(pl.QUARANTINE).count()
+    bad = land.where(F.col("transaction_date") == day).where(rejected).count()
+    assert before == land.where(rejected).count() and bad > 0
+    for _ in range(2):                              # a retried rerun replaces its quarantine commit
+        pl.run_silver(store, run_ts, rerun_date=day)
+        assert store.read_batches(pl.QUARANTINE).count() == before + bad
+    scan = filter_dates(store.read_batches(pl.BRONZE), day, day)
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(transaction_date" in plan
+    month = filter_dates(store.read_table(pl.SILVER), day, day)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(transaction_month" in month

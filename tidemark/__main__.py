@@ -1,7 +1,7 @@
 """Command line: run pipeline stages the way a scheduler task would.
 
   python -m tidemark load-landing --root R --sf-dir D
-  python -m tidemark run --root R --as-of 2001-12-31 [--upto 200112] [--stage gold]
+  python -m tidemark run --root R --as-of 2001-12-31 [--upto 3] [--stage gold]
   python -m tidemark run --root R --as-of 2001-12-31 --rerun-date 1998-06-30
   python -m tidemark log --root R [--table silver]
 
@@ -32,7 +32,8 @@ def main(argv=None) -> None:
     rn.add_argument("--root", required=True)
     rn.add_argument("--as-of", required=True, type=dt.date.fromisoformat)
     rn.add_argument("--run-ts", type=dt.datetime.fromisoformat)
-    rn.add_argument("--upto", type=int, help="last landing batch to ingest")
+    rn.add_argument("--upto", type=int, help="last landing commit to ingest")
+    rn.add_argument("--bronze-by-month", action="store_true")
     rn.add_argument("--rerun-date", type=dt.date.fromisoformat)
     rn.add_argument("--stage", choices=["bronze", "silver", "gate", "gold", "history"])
     rn.add_argument("--fixture-tiers", action="store_true")
@@ -47,7 +48,7 @@ def main(argv=None) -> None:
     spark = get_spark("tidemark-cli", master=args.master)
     store = TableStore(spark, args.root)
     if args.cmd == "load-landing":
-        print(json.dumps({"batches": pl.load_landing(store, landing_transactions(spark, args.sf_dir))}))
+        print(json.dumps({"commit": pl.load_landing(store, landing_transactions(spark, args.sf_dir))}))
         return
     if args.cmd == "log":
         store.run_log(args.table, args.limit).show(args.limit, truncate=False)
@@ -55,7 +56,7 @@ def main(argv=None) -> None:
     cfg = pl.Config(tiers=FIXTURE_TIERS if args.fixture_tiers else DEFAULT_TIERS)
     run_ts = args.run_ts or dt.datetime.combine(args.as_of + dt.timedelta(days=1), dt.time(5))
     stages = {
-        "bronze": lambda: pl.run_bronze(store, run_ts, args.upto),
+        "bronze": lambda: pl.run_bronze(store, run_ts, args.upto, args.bronze_by_month),
         "silver": lambda: pl.run_silver(store, run_ts, args.rerun_date),
         "gate": lambda: pl.run_gate(store, cfg),
         "gold": lambda: pl.run_gold(store, args.as_of, run_ts, cfg, args.rerun_date),
@@ -64,7 +65,8 @@ def main(argv=None) -> None:
     if args.stage:
         out = [stages[args.stage]()]
     else:
-        out = pl.run_pipeline(store, args.as_of, run_ts, cfg, args.upto, args.rerun_date)
+        out = pl.run_pipeline(store, args.as_of, run_ts, cfg, args.upto, args.rerun_date,
+                              args.bronze_by_month)
     print(json.dumps(out, default=str))
 
 

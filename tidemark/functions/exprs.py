@@ -7,6 +7,7 @@ functions, so it stays inside whole-stage codegen.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,17 +58,28 @@ def month_of(date_col: Column) -> Column:
     return F.date_format(date_col, "yyyy-MM")
 
 
+_COLUMN = re.compile(r"\b[a-z_][a-z0-9_]*\b(?!\s*\()", re.IGNORECASE)
+
+
+def _widened(sql: str) -> str:
+    """The expression with its columns, or a datediff as a whole, as decimals."""
+    if "datediff" in sql:
+        return re.sub(r"datediff\([^)]*\)", lambda m: f"CAST({m[0]} AS DECIMAL(28,0))", sql)
+    return _COLUMN.sub(lambda m: f"CAST({m[0]} AS DECIMAL(28,0))", sql)
+
+
 def ratio_units_sql(num_sql: str, den_sql: str, scale_pow10: int = 100) -> str:
     """SQL for round(num / den * scale) as an exact BIGINT, half away from zero.
 
-    ``num_sql`` and ``den_sql`` are integral SQL expressions (they may contain
-    aggregates). NULL when the denominator is 0 or NULL.
+    ``num_sql`` and ``den_sql`` are integral SQL expressions. Their columns are
+    widened to DECIMAL(28,0) before anything is multiplied, so sums of cents
+    over a whole corpus don't overflow. NULL when the denominator is 0 or NULL.
     """
-    n = f"(CAST(({num_sql}) AS BIGINT) * {int(scale_pow10)})"
-    d = f"CAST(({den_sql}) AS BIGINT)"
+    n = f"(CAST(({_widened(num_sql)}) AS DECIMAL(33,0)) * {int(scale_pow10)}BD)"
+    d = f"CAST(({_widened(den_sql)}) AS DECIMAL(33,0))"
     return (f"(CASE WHEN {d} = 0 THEN CAST(NULL AS BIGINT) ELSE "
             f"CASE WHEN ({n} < 0) <> ({d} < 0) THEN -1 ELSE 1 END"
-            f" * ((2 * abs({n}) + abs({d})) div (2 * abs({d}))) END)")
+            f" * ((2BD * abs({n}) + abs({d})) div (2BD * abs({d}))) END)")
 
 
 def round_ratio_half_up(num_sql: str, den_sql: str, scale_pow10: int = 100) -> Column:

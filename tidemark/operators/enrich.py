@@ -1,32 +1,14 @@
-"""Fact x dimension enrichment with a checked broadcast."""
+"""Fact x dimension enrichment."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) we are willing to ship to every executor.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
 class DuplicateKeyError(ValueError):
     pass
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    The probe reads at most ``max_rows + 1`` rows (the limit is pushed into
-    the scan), so the check itself stays cheap even for a huge input.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a size check; otherwise leave it to AQE."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def assert_unique(df: DataFrame, keys) -> None:
     keys = [keys] if isinstance(keys, str) else list(keys)
     dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
@@ -34,19 +16,17 @@ def assert_unique(df: DataFrame, keys) -> None:
         raise DuplicateKeyError(f"dimension key {keys} is not unique")
 
 
-def enrich(fact: DataFrame, dim: DataFrame, key: str,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-           check_unique: bool = True) -> DataFrame:
+def enrich(fact: DataFrame, dim: DataFrame, key: str, check_unique: bool = True) -> DataFrame:
     """Left outer join of ``fact`` to ``dim`` on ``key``.
 
     A duplicate dimension key would multiply fact rows, so uniqueness is
-    asserted first. The dimension is broadcast only when it has at most
-    ``max_broadcast_rows`` rows; a larger one goes through a normal shuffle
-    join (AQE may still turn it into a broadcast from runtime sizes).
+    asserted first. Spark broadcasts the dimension where its size (from
+    statistics, or measured by AQE at run time) is below the session's
+    threshold, and shuffles otherwise.
     """
     if check_unique:
         assert_unique(dim, key)
-    return fact.join(maybe_broadcast(dim, max_broadcast_rows), key, "left")
+    return fact.join(dim, key, "left")
 
 
 def match_rate(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:

@@ -10,11 +10,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.enrich import maybe_broadcast
-
 CHANGE_TYPE = "_change_type"
 
 
@@ -42,15 +40,18 @@ def _newer_or_equal(s: Column, t: Column) -> Column:
     return s >= t
 
 
-# Largest key set (rows) the merge ships to every executor; above it the
-# target is joined by shuffle.
-MAX_BROADCAST_KEYS = 5_000_000
+def one_row_per_key(source: DataFrame, keys: list) -> DataFrame:
+    """``source``, failing at run time if a key has several rows: which of them
+    should win a merge is undefined. The count runs over the partitioning by
+    key that the merge's join needs anyway."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    ok = F.assert_true(F.col("_n") == 1, F.lit(f"merge source has several rows for one key {keys}"))
+    return source.withColumn("_n", n).where(ok.isNull()).drop("_n")
 
 
 def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
                         version_cols=None, delete_keys: DataFrame | None = None,
-                        materialize=None, max_broadcast_keys: int = MAX_BROADCAST_KEYS
-                        ) -> tuple[DataFrame, DataFrame]:
+                        materialize=None) -> tuple[DataFrame, DataFrame]:
     """MERGE (update all when matched, insert all otherwise) -> (result, changes).
 
     * ``version_cols``: when given, a matched source row replaces the target
@@ -61,13 +62,14 @@ def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
     * ``changes`` has the result schema plus ``_change_type`` in
       ``insert`` / ``update_preimage`` / ``update_postimage`` / ``delete``;
       a matched row whose values do not change produces no change rows.
+    * A key with several source rows is an error.
     * ``materialize``: optional callable used to stage the source-sized
       decision set once (it feeds both the result and the changes).
 
     The target is touched only by a semi-join (rows matching a source key)
-    and an anti-join (rows without a source key) against the source's keys,
-    broadcast when their row count is within ``max_broadcast_keys``: the
-    target is scanned, never shuffled, for a source of bounded size.
+    and an anti-join (rows without a source key) against the source's keys;
+    where those are small Spark broadcasts them, and the target is scanned
+    without being shuffled.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = union_schema(target, source)
@@ -75,10 +77,10 @@ def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
     tgt = align(target, cols)
     src = align(source, cols)
 
-    src_keys = maybe_broadcast(src.select(*keys), max_broadcast_keys)
+    src_keys = src.select(*keys)
     # target rows whose key appears in the source (bounded by the source size)
     hit = tgt.join(src_keys, keys, "left_semi")
-    pairs = (src.select(*keys, F.struct(*names).alias("_s"))
+    pairs = (one_row_per_key(src, keys).select(*keys, F.struct(*names).alias("_s"))
                 .join(hit.select(*keys, F.struct(*names).alias("_t")), keys, "left"))
     if version_cols:
         s_ver = F.struct(*[F.col(f"_s.`{c}`") for c in version_cols])
@@ -108,7 +110,7 @@ def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
     changes = change_rows
 
     if delete_keys is not None:
-        dk = maybe_broadcast(delete_keys.select(*keys).distinct(), max_broadcast_keys)
+        dk = delete_keys.select(*keys).distinct()
         gone = result.join(dk, keys, "left_semi")
         result = result.join(dk, keys, "left_anti")
         changes = changes.unionByName(gone.withColumn(CHANGE_TYPE, F.lit("delete")))

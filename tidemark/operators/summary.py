@@ -22,28 +22,39 @@ def member_summary(txns: DataFrame, as_of, tiers=DEFAULT_TIERS,
 
     ``as_of`` replaces CURRENT_DATE and ``run_ts`` CURRENT_TIMESTAMP, so a run
     is reproducible. Ratios are rounded half-up on exact integers (cents,
-    points, days). The plan is a single partial + final hash aggregation on
-    ``member_id``: a member holding a large share of the rows is reduced
-    map-side before the shuffle.
+    points, days). Transactions are aggregated by (member, channel) first, with
+    partial sums of primitive types next to the scan, so that a member holding
+    a large share of the rows is reduced before the shuffle; what is left, a
+    few rows per member, gives the measures and the preferred channel.
     """
-    as_of_col = to_date_lit(as_of)
+    base = txns.select(
+        key, "transaction_date", "amount", "points_earned", "redemption_points", "channel",
+        (F.col("amount") * 100).cast("long").alias("_c"))
+    per_channel = base.groupBy(key, "channel").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("spend"), F.sum("_c").alias("cents"),
+        F.sum("points_earned").alias("earned"), F.sum("redemption_points").alias("redeemed"),
+        F.min("transaction_date").alias("first_date"), F.max("transaction_date").alias("last_date"))
+    return _by_member(per_channel, as_of, tiers, run_ts, key)
+
+
+def _by_member(per_channel: DataFrame, as_of, tiers, run_ts, key: str) -> DataFrame:
+    """Measures of a member from its (member, channel) sums. The preferred channel is the
+    non-NULL channel with the highest count, ties to the smallest."""
     if run_ts is None:
         run_ts = dt.datetime.combine(as_of if isinstance(as_of, dt.date)
                                      else dt.date.fromisoformat(as_of), dt.time())
-    base = txns.select(
-        key, "transaction_date", "amount", "points_earned", "redemption_points", "channel",
-        (F.col("amount") * 100).cast("long").alias("_cents"))
-    agg = base.groupBy(key).agg(
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.sum("amount").alias("lifetime_spend"),
-        F.max("transaction_date").alias("last_active_date"),
-        F.min("transaction_date").alias("_first_date"),
-        F.sum("points_earned").alias("total_points_earned"),
-        F.sum("redemption_points").alias("total_points_redeemed"),
-        F.sum("_cents").alias("_cents"),
-        F.mode("channel", deterministic=True).alias("preferred_channel"),
-    )
-    return _finish(agg, as_of_col, tiers, run_ts, key)
+    rank = F.struct(F.col("channel").isNull().alias("no_channel"), (-F.col("n")).alias("k"),
+                    F.col("channel"))
+    agg = per_channel.groupBy(key).agg(
+        F.sum("n").alias("total_transactions"),
+        F.sum("spend").cast("decimal(20,2)").alias("lifetime_spend"),
+        F.max("last_date").alias("last_active_date"),
+        F.min("first_date").alias("_first_date"),
+        F.sum("earned").alias("total_points_earned"),
+        F.sum("redeemed").alias("total_points_redeemed"),
+        F.sum("cents").alias("_cents"),
+        F.min_by("channel", rank).alias("preferred_channel"))
+    return _finish(agg, to_date_lit(as_of), tiers, run_ts, key)
 
 
 def _finish(agg: DataFrame, as_of_col, tiers, run_ts, key: str) -> DataFrame:
@@ -99,28 +110,12 @@ def summary_from_rollup(rollup: DataFrame, as_of, tiers=DEFAULT_TIERS,
     """The member summary rebuilt from rollup rows (equal to ``member_summary``
     on the underlying transactions, including the preferred-channel tie rule:
     highest count, then smallest value)."""
-    as_of_col = to_date_lit(as_of)
-    if run_ts is None:
-        run_ts = dt.datetime.combine(as_of if isinstance(as_of, dt.date)
-                                     else dt.date.fromisoformat(as_of), dt.time())
-    # (member, channel) grain first, then member: the preferred channel is
-    # the non-NULL channel with the highest count, ties to the smallest.
-    per_channel = rollup.groupBy(key, "channel").agg(
+    # one partitioning by member serves both aggregations
+    per_channel = rollup.repartition(key).groupBy(key, "channel").agg(
         F.sum("n").alias("n"), F.sum("spend").alias("spend"), F.sum("cents").alias("cents"),
         F.sum("earned").alias("earned"), F.sum("redeemed").alias("redeemed"),
         F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
-    rank = F.struct(F.col("channel").isNull().alias("no_channel"), (-F.col("n")).alias("k"),
-                    F.col("channel"))
-    agg = per_channel.groupBy(key).agg(
-        F.sum("n").alias("total_transactions"),
-        F.sum("spend").cast("decimal(20,2)").alias("lifetime_spend"),
-        F.max("last_date").alias("last_active_date"),
-        F.min("first_date").alias("_first_date"),
-        F.sum("earned").alias("total_points_earned"),
-        F.sum("redeemed").alias("total_points_redeemed"),
-        F.sum("cents").alias("_cents"),
-        F.min_by("channel", rank).alias("preferred_channel"))
-    return _finish(agg, as_of_col, tiers, run_ts, key)
+    return _by_member(per_channel, as_of, tiers, run_ts, key)
 
 
 def affected_keys(changes: DataFrame, key: str = "member_id") -> DataFrame:

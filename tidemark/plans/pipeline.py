@@ -15,7 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import DEFAULT_TIERS, month_of, to_date_lit
+from tidemark.functions.dates import filter_dates
+from tidemark.functions.exprs import DEFAULT_TIERS, month_of
 from tidemark.operators.dedup import TRANSACTION_TIEBREAK, ingest_order, latest_per_key
 from tidemark.operators.quality import default_suite, expectation_report, gate, split_rules
 from tidemark.operators.schema import reconcile_schema
@@ -26,6 +27,7 @@ from tidemark.sources.tables import TableStore
 
 LANDING, BRONZE, SILVER, QUARANTINE = "landing", "bronze", "silver", "silver_quarantine"
 GOLD, HISTORY, GATE = "gold_member_summary", "member_tier_history", "dq_report"
+GOLD_PARTITION = "current_tier"
 ROLLUP, JOB_ROLLUP = "member_month_rollup", "member_month_rollup"
 JOB_BRONZE, JOB_SILVER, JOB_GOLD, JOB_HISTORY, JOB_GATE = (
     "bronze_ingestion", "silver_transactions", "gold_member_summary", "member_tier_history",
@@ -63,28 +65,42 @@ def _ts(run_ts) -> dt.datetime:
     return run_ts if isinstance(run_ts, dt.datetime) else dt.datetime.fromisoformat(str(run_ts))
 
 
-def load_landing(store: TableStore, landing: DataFrame, batch_col: str = "batch_id") -> list:
-    """Publish upstream batches into Landing (one folder per batch)."""
-    return store.append_batches(landing, LANDING, batch_col)
+def load_landing(store: TableStore, delivery: DataFrame) -> int:
+    """Publish one upstream delivery into Landing as its next commit, whatever
+    business dates its rows have; returns the commit number."""
+    return store.append(delivery, LANDING)[0]
 
 
-def run_bronze(store: TableStore, run_ts, upto: int | None = None) -> dict:
-    """Landing batches after the last processed one (all on first run),
-    stamped with ``ingested_at``, appended as one Bronze load."""
-    last = store.get_last_version(JOB_BRONZE)
+def run_bronze(store: TableStore, run_ts, upto: int | None = None, by_month: bool = False) -> dict:
+    """Landing commits after the last ingested one (all on first run), stamped
+    with ``ingested_at``, appended as one Bronze load partitioned by day.
+
+    A load is published under the number of the last Landing commit in it, so
+    Bronze itself tells what has been ingested: a run that crashed after the
+    append, before the job version was saved, is completed and not repeated.
+    ``by_month`` makes the partitions months instead of days, for loads that
+    span years of days with a few rows each.
+    """
     current = store.current_version(LANDING)
     if current is None:
         return _result("bronze", "skipped", reason="no landing data")
     if upto is not None:
         current = min(current, upto)
+    saved, loaded = store.get_last_version(JOB_BRONZE), store.current_version(BRONZE)
+    last = max((v for v in (saved, loaded) if v is not None), default=None)
+    if loaded is not None and (saved is None or saved < loaded):
+        store.save_version(JOB_BRONZE, loaded)
     if last is not None and last >= current:
-        return _result("bronze", "skipped", reason="no new landing batches")
+        return _result("bronze", "skipped", reason="no new landing commits")
     batch = store.read_batches(LANDING, after=last, upto=current)
-    batch = batch.withColumn("ingested_at", F.lit(_ts(run_ts)).cast("timestamp"))
-    load_id = (store.current_version(BRONZE) or 0) + 1
-    rows = store.append_batch(batch, BRONZE, load_id, batch_col="load_id")
+    batch = (batch.withColumn("ingested_at", F.lit(_ts(run_ts)).cast("timestamp"))
+                  .withColumn("load_id", F.lit(int(current))))
+    if by_month:
+        batch = batch.withColumn("transaction_month", month_of(F.col("transaction_date")))
+    _, rows = store.append(batch, BRONZE, version=current,
+                           partition_by="transaction_month" if by_month else "transaction_date")
     store.save_version(JOB_BRONZE, current)
-    return _result("bronze", "ok", rows=rows, load_id=load_id, landing_version=current)
+    return _result("bronze", "ok", rows=rows, load_id=current, landing_version=current)
 
 
 def silver_batch(batch: DataFrame, target_schema, run_ts) -> tuple[DataFrame, DataFrame]:
@@ -94,7 +110,7 @@ def silver_batch(batch: DataFrame, target_schema, run_ts) -> tuple[DataFrame, Da
     comes first so rules see target types and a bad newer copy cannot hide a
     good older one.
     """
-    batch = batch.drop("load_id")
+    batch = batch.drop("load_id", "transaction_month")
     good, cast_bad = reconcile_schema(batch, target_schema)
     clean, dq_bad = split_rules(good, quarantine_ts=_ts(run_ts))
     latest = latest_per_key(clean, "transaction_id", ingest_order(clean))
@@ -117,7 +133,8 @@ def run_silver(store: TableStore, run_ts, rerun_date=None) -> dict:
     if current is None:
         return _result("silver", "skipped", reason="no bronze data")
     if rerun_date is not None:
-        batch = store.read_batches(BRONZE).where(F.col("transaction_date") == to_date_lit(rerun_date))
+        # only the folders of that day (or of its month) are read
+        batch = filter_dates(store.read_batches(BRONZE), rerun_date, rerun_date)
     elif last is not None and last >= current:
         return _result("silver", "skipped", reason="no new bronze loads")
     else:
@@ -127,58 +144,35 @@ def run_silver(store: TableStore, run_ts, rerun_date=None) -> dict:
         target_schema = store.read_table(SILVER).drop("transaction_month").schema
     latest, quarantine = silver_batch(batch, target_schema, run_ts)
     staged = store.stage(latest, "silver-batch")          # computed once
-    if rerun_date is None:
-        # one quarantine folder per Bronze version: a retry overwrites it
-        store.append_batch(quarantine.withColumn("load_id", F.lit(current)), QUARANTINE,
-                           current, batch_col="load_id")
+    # one quarantine commit per Bronze version, and one per rerun day (under
+    # the negative of its date): a retry replaces it
+    load = current if rerun_date is None else -int(str(rerun_date).replace("-", ""))
+    store.append(quarantine.withColumn("load_id", F.lit(load)), QUARANTINE, version=load)
     version = store.merge(staged, SILVER, ["transaction_id"], version_cols=SILVER_VERSION,
                           partition_by="transaction_month")
     if rerun_date is None:
         store.save_version(JOB_SILVER, current)
+    store.clear_staged()
     return _result("silver", "ok", silver_version=version, bronze_version=current)
 
 
-def run_gate(store: TableStore, cfg: Config | None = None, full: bool = False) -> dict:
-    """Expectations on the latest Silver; raises on a critical failure.
+def run_gate(store: TableStore, cfg: Config | None = None) -> dict:
+    """Expectations on the whole latest Silver; raises on a critical failure.
 
-    Row-level expectations scan the whole table in one aggregate pass (no
-    sampling, no shuffle). Key uniqueness needs a grouped pass; Silver is
-    written by a keyed merge, so once a full check has passed only keys
-    changed since the last passed gate can break it: those keys are checked
-    against the table (a semi-join on a change-sized key set) instead of
-    shuffling every key of the table on every run. ``full`` forces the full
-    check.
+    Every expectation scans the whole table: the row-level ones in one
+    aggregate pass (no sampling, no shuffle), key uniqueness in one grouped
+    pass with map-side counts.
     """
     cfg = cfg or Config()
     silver = store.read_table(SILVER)
     version = store.current_version(SILVER)
-    checked = store.get_last_version(JOB_GATE)
-    suite = cfg.expectations()
-    row_level = [e for e in suite if e.kind != "unique"]
-    unique = [e for e in suite if e.kind == "unique"]
-    parts = [expectation_report(silver, row_level)] if row_level else []
-    scope = "full"
-    for e in unique:
-        scoped = silver
-        if not full and checked is not None and checked < version:
-            keys = store.read_changes(SILVER, checked, version,
-                                      ("insert", "update_postimage")).select(e.column).distinct()
-            scoped = silver.join(keys, e.column, "left_semi")
-            scope = "changed"
-        elif not full and checked is not None and checked >= version:
-            scoped = silver.limit(0)
-            scope = "unchanged"
-        parts.append(expectation_report(scoped, [e]))
-    report = parts[0]
-    for p in parts[1:]:
-        report = report.unionByName(p)
-    report = store.stage(report, "dq-report")
+    report = store.stage(expectation_report(silver, cfg.expectations()), "dq-report")
     store.publish(report.withColumn("silver_version", F.lit(version)), GATE,
                   operation="VALIDATE")
     failed = gate(report)   # raises GateFailed: Gold is not computed
     store.save_version(JOB_GATE, version)
-    return _result("gate", "ok", warnings=[r["expectation"] for r in failed],
-                   uniqueness_scope=scope)
+    store.clear_staged()
+    return _result("gate", "ok", warnings=[r["expectation"] for r in failed])
 
 
 def refresh_rollup(store: TableStore) -> dict:
@@ -224,13 +218,14 @@ def run_gold(store: TableStore, as_of, run_ts, cfg: Config | None = None,
     refresh_rollup(store)
     rollup = store.read_table(ROLLUP)
     if rerun_date is not None:
-        silver = store.read_table(SILVER)
-        keys = store.stage(silver.where(F.col("transaction_date") == to_date_lit(rerun_date))
-                                 .select("member_id").distinct(), "gold-keys")
+        # the month of the day prunes Silver's partitions
+        keys = store.stage(filter_dates(store.read_table(SILVER), rerun_date, rerun_date)
+                           .select("member_id").distinct(), "gold-keys")
     elif last is None or not store.exists(GOLD):
         full = summary_from_rollup(rollup, as_of, cfg.tiers, _ts(run_ts))
-        version = store.create(full, GOLD, cluster_by=cluster)
+        version = store.create(full, GOLD, partition_by=GOLD_PARTITION, cluster_by=cluster)
         store.save_version(JOB_GOLD, current)
+        store.clear_staged()
         return _result("gold", "ok", mode="full", gold_version=version)
     else:
         changes = store.read_changes(SILVER, last, current, ALL_CHANGES)
@@ -239,9 +234,11 @@ def run_gold(store: TableStore, as_of, run_ts, cfg: Config | None = None,
     fresh = store.stage(summary_from_rollup(scoped, as_of, cfg.tiers, _ts(run_ts)),
                         "gold-fresh")
     gone = vanished_keys(keys, fresh)
-    version = store.merge(fresh, GOLD, ["member_id"], delete_keys=gone, cluster_by=cluster)
+    version = store.merge(fresh, GOLD, ["member_id"], delete_keys=gone,
+                          partition_by=GOLD_PARTITION, cluster_by=cluster)
     if rerun_date is None:
         store.save_version(JOB_GOLD, current)
+    store.clear_staged()
     return _result("gold", "ok", mode="incremental", gold_version=version)
 
 
@@ -266,16 +263,18 @@ def run_history(store: TableStore, as_of) -> dict:
     version = store.publish_partitions(staged, HISTORY, "is_current", replace=["true"],
                                        changes=staged_changes, operation="SCD2")
     store.save_version(JOB_HISTORY, current)
+    store.clear_staged()
     return _result("history", "ok", mode="apply", history_version=version)
 
 
 def run_pipeline(store: TableStore, as_of, run_ts, cfg: Config | None = None,
-                 landing_upto: int | None = None, rerun_date=None) -> list[dict]:
+                 landing_upto: int | None = None, rerun_date=None,
+                 bronze_by_month: bool = False) -> list[dict]:
     """bronze -> silver -> gate -> gold -> history; stops at the first failure."""
     cfg = cfg or Config()
     out = []
     if rerun_date is None:
-        out.append(run_bronze(store, run_ts, upto=landing_upto))
+        out.append(run_bronze(store, run_ts, upto=landing_upto, by_month=bronze_by_month))
     out.append(run_silver(store, run_ts, rerun_date))
     out.append(run_gate(store, cfg))
     out.append(run_gold(store, as_of, run_ts, cfg, rerun_date))

@@ -61,13 +61,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system location and is
-    used as is. Only when it is unset (local runs, tests) a private folder
-    under the local temp dir is created and registered.
+    used as is. Only where it is unset on a local master (tests) a private
+    folder under the local temp dir is created and registered; a cluster
+    without the setting is an error, as executors would not share the folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -79,10 +82,24 @@ def new_work_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/tidemark/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+# ---- the file system that a path belongs to (local, HDFS, object store) ------
 
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, size, modification time) of the entries of one folder."""
+    fs, p = _fs(spark, path)
+    return sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in fs.listStatus(p))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

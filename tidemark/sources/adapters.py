@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.enrich import maybe_broadcast
-
 # ---- fixed values (must stay as given) ------------------------------------
 # Order priority -> sales channel; other priorities have no channel (NULL).
 CHANNEL_BY_PRIORITY = (("1-URGENT", "POS"), ("2-HIGH", "POS"),
@@ -30,23 +28,8 @@ TRANSACTION_COLUMNS = ("transaction_id", "member_id", "transaction_date", "amoun
                        "redemption_points")
 
 
-def read_source(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_scan(df) if spread else df
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A large table arrives as many files / row groups and is left alone (no
-    shuffle). A file written as one row group can only be read by one task;
-    spreading it lets the join, rules and partial aggregation that follow run
-    on every core instead of one.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= cores:
-        return df.repartition(cores)
-    return df
+def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _channel(priority):
@@ -78,7 +61,7 @@ def landing_transactions(spark: SparkSession, sf_dir: str, faults: bool = True)
     rules null the member, null the amount or negate it, so quality rules have
     something to catch.
     """
-    li = read_source(spark, sf_dir, "lineitem", spread=True).select(
+    li = read_source(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate")
     od = read_source(spark, sf_dir, "orders").select(
@@ -117,10 +100,8 @@ def store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_source(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = read_source(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_source(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    # nation / region are reference tables; broadcast only after the row
-    # count check, otherwise a normal join.
-    return (s.join(maybe_broadcast(n, 100_000), s.s_nationkey == n.n_nationkey, "left")
-             .join(maybe_broadcast(r, 100_000), F.col("n_regionkey") == r.r_regionkey, "left")
+    return (s.join(n, s.s_nationkey == n.n_nationkey, "left")
+             .join(r, F.col("n_regionkey") == r.r_regionkey, "left")
              .select(F.concat(F.lit("STR"), F.col("s_suppkey").cast("string")).alias("store_id"),
                      F.col("s_name").alias("store_name"),
                      F.col("n_name").alias("state"),

@@ -2,24 +2,24 @@
 
 Layout below one root folder (a shared file system path on a cluster):
 
-  <root>/<name>/batch_id=<n>/...          append-only table; version = batch id
-  <root>/<name>/tm_version=<n>/<part>=<value>/...  keyed table, files of version n
-  <root>/<name>/_changes/version=<n>/...  change feed rows of version n
+  <root>/<name>/tm_commit=<n>-<attempt>/[<part>=<value>/]... append-only table, commit n
+  <root>/<name>/tm_version=<n>-<attempt>/<part>=<value>/... keyed table, files of version n
+  <root>/<name>/_changes/version=<n>-<attempt>/...          change feed rows of version n
   <root>/_log/table_name=<name>/version=<n>/   one row per published version:
         operation, row metrics, and the data folders making up the version
 
-A keyed version lists its data folders explicitly, so a merge rewrites only
-the partitions it touches and keeps referring to the untouched folders of
-older versions. A version exists once its log row is written (last), so a
-crashed write is simply ignored and redone by the retry; every write goes to
-a fresh or its own per-version folder, never to a folder being read.
+Every write goes to a folder of its own attempt, and only folders that a log
+row names are ever read: what a crashed attempt left behind belongs to no
+version, and the retry writes elsewhere. A version exists once its log row is
+written (last). A log that can't be read is an error, never an empty store. A
+keyed version lists its data folders, so a merge rewrites only the partitions
+it touches and keeps referring to the untouched folders of older versions.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-import os
 import uuid
 from dataclasses import dataclass
 
@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.enrich import maybe_broadcast
-from tidemark.operators.merge import CHANGE_TYPE, MAX_BROADCAST_KEYS, upsert_with_changes
-from tidemark.session import is_local_path, local_fs_path
+from tidemark.operators.merge import CHANGE_TYPE, upsert_with_changes
+from tidemark.session import delete_path, list_folder, path_exists
 
 LOG = "_log"
 CHANGES = "_changes"
 VERSION_DIR = "tm_version"   # folder key of a keyed version; dropped on read
+COMMIT_DIR = "tm_commit"     # folder key of an append-only commit
 JOB_VERSIONS = "job_versions"
 
 LOG_SCHEMA = T.StructType([
@@ -41,14 +41,15 @@ LOG_SCHEMA = T.StructType([
     T.StructField("kind", T.StringType()),              # append | keyed
     T.StructField("partition_by", T.StringType()),
     T.StructField("parts", T.ArrayType(T.StringType())),  # data folders of the version
-    T.StructField("feed_parts", T.ArrayType(T.StringType())),  # folders read as inserts
-    T.StructField("has_feed", T.BooleanType()),         # _changes/version=n written
+    T.StructField("feed_parts", T.ArrayType(T.StringType())),  # folders of the feed
+    T.StructField("has_feed", T.BooleanType()),         # feed_parts hold change rows; else inserts
     T.StructField("rows_written", T.LongType()),
     T.StructField("rows_inserted", T.LongType()),
     T.StructField("rows_updated", T.LongType()),
     T.StructField("rows_deleted", T.LongType()),
     T.StructField("committed_at", T.TimestampType()),
     T.StructField("schema_json", T.StringType()),
+    T.StructField("feed_schema_json", T.StringType()),
     T.StructField("touched", T.ArrayType(T.StringType())),  # partition values rewritten
     T.StructField("state", T.MapType(T.StringType(), T.LongType())),  # control state
 ])
@@ -71,7 +72,8 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-        self._log_cache: list[dict] | None = None
+        self._log_cache: dict[str, list[dict]] = {}
+        self._staged: list[str] = []
 
     # ---- paths and log ------------------------------------------------------
     def path(self, name: str) -> str:
@@ -80,6 +82,10 @@ class TableStore:
     def _log_path(self) -> str:
         return f"{self.root}/{LOG}"
 
+    def log_path(self, name: str) -> str:
+        """Folder of one table's log rows."""
+        return f"{self._log_path()}/table_name={name}"
+
     def _write_log(self, name: str, version: int, info: dict) -> None:
         self._write_log_rows([(name, version, info)])
 
@@ -100,10 +106,10 @@ class TableStore:
         (self.spark.createDataFrame(rows, schema).repartition(1).write
              .mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("table_name", "version").parquet(self._log_path()))
-        if self._log_cache is not None:
-            done = {(r["table_name"], r["version"]) for r in rows}
-            self._log_cache = [r for r in self._log_cache
-                               if (r["table_name"], r["version"]) not in done] + rows
+        for r in rows:
+            if r["table_name"] in self._log_cache:
+                kept = [x for x in self._log_cache[r["table_name"]] if x["version"] != r["version"]]
+                self._log_cache[r["table_name"]] = kept + [r]
 
     def _log_schema(self) -> T.StructType:
         return T.StructType(LOG_SCHEMA.fields + [T.StructField("table_name", T.StringType()),
@@ -111,29 +117,23 @@ class TableStore:
 
     def log(self) -> DataFrame:
         """The version log as a DataFrame (one row per published version)."""
-        return self.spark.createDataFrame(self._log_rows(), self._log_schema())
+        if not path_exists(self.spark, self._log_path()):
+            return self.spark.createDataFrame([], self._log_schema())
+        return self.spark.read.schema(self._log_schema()).parquet(self._log_path())
 
     def refresh(self) -> None:
         """Forget cached state (another process may have published)."""
-        self._log_cache = None
-
-    def _log_rows(self) -> list[dict]:
-        # The log holds one small row per version; it is read once per store
-        # and then kept in step with this store's own publications.
-        if self._log_cache is None:
-            if is_local_path(self.root) and not os.path.exists(
-                    local_fs_path(self._log_path())):
-                self._log_cache = []
-                return self._log_cache
-            try:
-                df = self.spark.read.parquet(self._log_path())
-                self._log_cache = [r.asDict() for r in df.collect()]
-            except Exception:  # noqa: BLE001 - nothing published yet
-                self._log_cache = []
-        return self._log_cache
+        self._log_cache = {}
 
     def _entries(self, name: str) -> list[dict]:
-        return [r for r in self._log_rows() if r["table_name"] == name]
+        # One table's log holds one small row per version; it is read once per
+        # store and then kept in step with this store's own publications. Only
+        # a log folder that doesn't exist means "nothing published"; any
+        # failure to read one is raised.
+        if name not in self._log_cache:
+            rows = self.log().where(F.col("table_name") == name).collect()
+            self._log_cache[name] = [r.asDict() for r in rows]
+        return self._log_cache[name]
 
     def current_version(self, name: str) -> int | None:
         vs = [int(r["version"]) for r in self._entries(name)]
@@ -159,77 +159,71 @@ class TableStore:
         return self.current_version(name) is not None
 
     # ---- append-only tables -------------------------------------------------
-    def append_batches(self, df: DataFrame, name: str, batch_col: str = "batch_id",
-                       operation: str = "APPEND") -> list[int]:
-        """Write every batch of ``df`` (one folder per ``batch_col`` value).
-
-        Dynamic partition overwrite makes a retried batch replace its own
-        folder instead of appending twice. The batch ids and row count are
-        observed during the write itself (no second pass). Returns the ids.
+    def append(self, df: DataFrame, name: str, version: int | None = None,
+               partition_by: str | None = None, operation: str = "APPEND") -> tuple[int, int]:
+        """Append ``df`` as one commit; returns (version, rows).
+
+        Commits are numbered in the order of their publication, whatever the
+        rows hold, so a reader of "what is new" never misses a late or a
+        repeated delivery. With an explicit ``version`` (a consumer that names
+        its commits after what it consumed) publishing the same version again
+        replaces that commit.
         """
-        obs = Observation(f"append_{name}")
-        # REBALANCE on the batch column: each task writes few batch folders
-        # instead of every task writing every batch; AQE splits a batch that
-        # holds a large share of the rows into several tasks and merges
-        # small ones, so file sizes stay even without a sampling pass.
-        df = df.hint("rebalance", batch_col)
-        (df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                    F.array_sort(F.collect_set(batch_col)).alias("batches"))
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(batch_col).parquet(self.path(name)))
-        got = obs.get
-        batches = [int(b) for b in (got.get("batches") or [])]
-        if batches:
-            # one publication for the whole call: version = newest batch id;
-            # batch ranges are read through the folder filter, not the log
-            self._write_log(name, batches[-1], {
-                "operation": operation, "kind": "append", "partition_by": batch_col,
-                "parts": [self.path(name)], "feed_parts": [], "has_feed": False,
-                "schema_json": df.schema.json(), "rows_written": int(got.get("rows", 0)),
-                "rows_inserted": int(got.get("rows", 0)), "rows_updated": 0, "rows_deleted": 0})
-        return batches
-
-    def append_batch(self, df: DataFrame, name: str, batch_id: int,
-                     batch_col: str = "batch_id", operation: str = "APPEND") -> int:
-        """Write one batch folder (idempotent on retry) and publish it."""
-        obs = Observation(f"append_{name}_{batch_id}")
-        folder = f"{self.path(name)}/{batch_col}={batch_id}"
-        (df.drop(batch_col).observe(obs, F.count(F.lit(1)).alias("rows"))
-           .write.mode("overwrite").parquet(folder))
+        if version is None:
+            version = (self.current_version(name) or 0) + 1
+        folder = f"{self.path(name)}/{COMMIT_DIR}={version}-{uuid.uuid4().hex[:10]}"
+        obs = Observation(f"append_{uuid.uuid4().hex[:10]}")
+        # optimized write: few files per partition value; AQE splits a value
+        # that holds a large share of the rows and merges small ones
+        out = df.hint("rebalance", partition_by) if partition_by else df
+        writer = out.observe(obs, F.count(F.lit(1)).alias("rows")).write
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(folder)
         rows = int(obs.get.get("rows", 0))
-        self._write_log(name, batch_id, {"operation": operation, "kind": "append",
-                                         "partition_by": batch_col, "parts": [folder],
-                                         "feed_parts": [folder], "has_feed": False,
-                                         "schema_json": T.StructType(
-                                             df.drop(batch_col).schema.fields
-                                             + [T.StructField(batch_col, T.IntegerType())]).json(),
-                                         "rows_written": rows, "rows_inserted": rows})
-        return rows
+        self._write_log(name, version, {"operation": operation, "kind": "append",
+                                        "partition_by": partition_by, "parts": [folder],
+                                        "feed_parts": [], "has_feed": False,
+                                        "schema_json": df.schema.json(),
+                                        "rows_written": rows, "rows_inserted": rows,
+                                        "rows_updated": 0, "rows_deleted": 0})
+        return version, rows
 
     def read_batches(self, name: str, after: int | None = None,
                      upto: int | None = None) -> DataFrame:
-        """Rows of batches in (after, upto]; the range prunes batch folders.
+        """Rows of the published commits in (after, upto].
 
-        When every batch in the range was written with the same schema it is
-        passed to the reader (no inference job); otherwise Parquet schema
-        merging reconciles additive differences.
+        Commits of one schema are one scan, with that schema passed to the
+        reader (no inference); additive differences between commits are
+        reconciled by a union by name.
         """
-        info = self.version_info(name)
-        if info is None:
-            raise FileNotFoundError(f"table {name} has no published batch")
-        col = F.col(info.partition_by)
-        schemas = {r["schema_json"] for r in self._entries(name)}
-        reader = self.spark.read
-        if len(schemas) == 1 and None not in schemas:
-            reader = reader.schema(T.StructType.fromJson(json.loads(schemas.pop())))
-        else:
-            reader = reader.option("mergeSchema", "true")
-        df = reader.parquet(self.path(name))
-        if after is not None:
-            df = df.where(col > after)
-        if upto is not None:
-            df = df.where(col <= upto)
-        return df
+        return self._read_commits(name, after, upto).drop(COMMIT_DIR)
+
+    def _read_commits(self, name: str, after: int | None, upto: int | None) -> DataFrame:
+        infos = [r for r in self._entries(name) if (after is None or r["version"] > after)
+                 and (upto is None or r["version"] <= upto)]
+        if not self._entries(name):
+            raise FileNotFoundError(f"table {name} has no published commit")
+        by_schema: dict[str, list] = {}
+        for r in sorted(infos, key=lambda r: r["version"]):
+            by_schema.setdefault(r["schema_json"], []).extend(r["parts"])
+        if not by_schema:
+            schema = T.StructType.fromJson(json.loads(self.version_info(name).schema_json))
+            return self.spark.createDataFrame([], schema).withColumn(COMMIT_DIR, F.lit(""))
+        out = None
+        for schema_json, parts in by_schema.items():
+            schema = T.StructType.fromJson(json.loads(schema_json))
+            df = (self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(*parts)
+                      .select(*schema.fieldNames(), F.col(COMMIT_DIR).cast("string")))
+            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+        return out
+
+    def read_parts(self, name: str, parts: list) -> DataFrame:
+        """Rows of the given folders of published commits, and of no others."""
+        wanted, out = set(parts), None
+        for r in sorted(self._entries(name), key=lambda r: r["version"]):
+            if wanted & set(r["parts"]):
+                df = self.read_batches(name, r["version"] - 1, r["version"])
+                out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+        return self.read_batches(name).limit(0) if out is None else out
 
     def stage(self, df: DataFrame, label: str) -> DataFrame:
         """Materialise ``df`` once under the root and read it back.
@@ -238,12 +232,21 @@ class TableStore:
         the source) and lets several actions share one computation.
         """
         folder = f"{self.root}/_staging/{label}-{uuid.uuid4().hex[:10]}"
-        df.write.mode("overwrite").parquet(folder)
-        return self.spark.read.parquet(folder)
+        df.write.parquet(folder)
+        self._staged.append(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def clear_staged(self) -> None:
+        """Remove the staged copies of this store object, once what was made from
+        them is published."""
+        for folder in self._staged:
+            delete_path(self.spark, folder)
+        self._staged = []
 
     # ---- keyed tables -------------------------------------------------------
     def _vdir(self, name: str, version: int) -> str:
-        return f"{self.path(name)}/{VERSION_DIR}={version}"
+        """A new folder for one attempt to write ``version``."""
+        return f"{self.path(name)}/{VERSION_DIR}={version}-{uuid.uuid4().hex[:10]}"
 
     def read_table(self, name: str, version: int | None = None,
                    partitions: list | None = None) -> DataFrame:
@@ -283,22 +286,25 @@ class TableStore:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.option("basePath", self.path(name))
         reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
-        return reader.parquet(*parts).drop(VERSION_DIR)
+        out = reader.parquet(*parts).drop(VERSION_DIR)
+        return out.select(*schema.fieldNames()) if schema is not None else out
 
     def _write_version(self, df: DataFrame, name: str, version: int,
                        partition_by: str | None, cluster_by: list | None) -> tuple[list, int]:
         out = df
         if cluster_by:
-            # one-column clustering: a range sort co-locates keys, so Parquet
-            # min/max statistics skip files for key lookups.
-            out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+            # clustering inside the partitions: a range sort co-locates keys,
+            # so Parquet min/max statistics skip files for key lookups. Staged
+            # first, as choosing the ranges evaluates the input once more.
+            order = ([partition_by] if partition_by else []) + list(cluster_by)
+            out = self.stage(df, f"{name}-cluster").repartitionByRange(*order).sortWithinPartitions(*order)
         elif partition_by:
             # optimized write: rows of one partition value go to few tasks
             # (AQE splits an oversized value and merges small ones), so a
             # version adds a few files per partition instead of one per task.
             out = out.hint("rebalance", partition_by)
-        obs = Observation(f"write_{name}_{version}")
-        writer = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        obs = Observation(f"write_{uuid.uuid4().hex[:10]}")
+        writer = out.observe(obs, F.count(F.lit(1)).alias("rows")).write
         vdir = self._vdir(name, version)
         if partition_by:
             writer = writer.partitionBy(partition_by)
@@ -306,10 +312,9 @@ class TableStore:
         rows = int(obs.get.get("rows", 0))
         if not partition_by:
             return [vdir], rows
-        written = self.spark.read.parquet(vdir).inputFiles() if rows else []
-        folders = sorted({f.rsplit("/", 1)[0] for f in written})
-        folders = [f[f.index(vdir):] if vdir in f else f for f in folders]
-        return folders, rows
+        # one listing of this attempt's own folder: one name per partition value
+        return [f"{vdir}/{f}" for f, _, _ in list_folder(self.spark, vdir)
+                if f.startswith(f"{partition_by}=")], rows
 
     def create(self, df: DataFrame, name: str, partition_by: str | None = None,
                cluster_by: list | None = None, version: int | None = None,
@@ -336,25 +341,26 @@ class TableStore:
         cur = self.current_version(name)
         version = 1 if cur is None else cur + 1
         parts, rows = self._write_version(df, name, version, partition_by, cluster_by)
-        metrics = self._write_changes(name, version, changes) if changes is not None else {}
+        metrics = (self._write_changes(name, version, changes) if changes is not None
+                   else {"feed_parts": parts, "has_feed": False})
         self._write_log(name, version, {"operation": operation, "kind": "keyed",
                                         "partition_by": partition_by, "parts": parts,
-                                        "feed_parts": [] if changes is not None else parts,
-                                        "has_feed": changes is not None,
                                         "schema_json": df.schema.json(),
                                         "rows_written": rows, **metrics})
         return version
 
     def _write_changes(self, name: str, version: int, changes: DataFrame) -> dict:
-        obs = Observation(f"changes_{name}_{version}")
+        obs = Observation(f"changes_{uuid.uuid4().hex[:10]}")
         ct = F.col(CHANGE_TYPE)
+        folder = f"{self.path(name)}/{CHANGES}/version={version}-{uuid.uuid4().hex[:10]}"
         (changes.observe(obs,
                          F.count_if(ct == "insert").alias("rows_inserted"),
                          F.count_if(ct == "update_postimage").alias("rows_updated"),
                          F.count_if(ct == "delete").alias("rows_deleted"))
-                .write.mode("overwrite").parquet(f"{self.path(name)}/{CHANGES}/version={version}"))
+                .write.parquet(folder))
         got = obs.get
-        return {k: int(got.get(k, 0) or 0) for k in ("rows_inserted", "rows_updated", "rows_deleted")}
+        return {"feed_parts": [folder], "has_feed": True, "feed_schema_json": changes.schema.json(),
+                **{k: int(got.get(k, 0) or 0) for k in ("rows_inserted", "rows_updated", "rows_deleted")}}
 
     def merge(self, source: DataFrame, name: str, keys, version_cols=None,
               partition_by: str | None = None, delete_keys: DataFrame | None = None,
@@ -375,7 +381,7 @@ class TableStore:
             current = self._read_parts(name, info.parts, partition_by, info.schema_json)
             # partitions holding a source row or the current copy of a source
             # key; only the key and partition columns of the table are read
-            src_keys = maybe_broadcast(source.select(*keys), MAX_BROADCAST_KEYS)
+            src_keys = source.select(*keys)
             touched = [r[0] for r in (
                 source.select(partition_by)
                       .union(current.select(*keys, partition_by)
@@ -395,8 +401,8 @@ class TableStore:
         metrics = self._write_changes(name, version, changes)
         self._write_log(name, version, {"operation": operation, "kind": "keyed",
                                         "partition_by": partition_by,
-                                        "parts": sorted(keep + parts), "feed_parts": [],
-                                        "has_feed": True, "schema_json": result.schema.json(),
+                                        "parts": sorted(keep + parts),
+                                        "schema_json": result.schema.json(),
                                         "touched": None if touched is None
                                         else sorted(str(t) for t in touched),
                                         "rows_written": rows, **metrics})
@@ -440,12 +446,11 @@ class TableStore:
         drop = {f"{partition_by}={v}" for v in replace}
         keep = [p for p in info.parts if p.rsplit("/", 1)[-1] not in drop]
         parts, rows = self._write_version(df, name, version, partition_by, None)
-        metrics = self._write_changes(name, version, changes) if changes is not None else {}
+        metrics = (self._write_changes(name, version, changes) if changes is not None
+                   else {"feed_parts": parts, "has_feed": False})
         self._write_log(name, version, {"operation": operation, "kind": "keyed",
                                         "partition_by": partition_by,
                                         "parts": sorted(keep + parts),
-                                        "feed_parts": [] if changes is not None else parts,
-                                        "has_feed": changes is not None,
                                         "schema_json": df.schema.json(),
                                         "touched": sorted({p.rsplit("=", 1)[-1] for p in parts}
                                                           | {str(v) for v in replace}),
@@ -477,27 +482,26 @@ class TableStore:
         if info is None:
             raise FileNotFoundError(f"table {name} has no published version")
         if info.kind == "append":
-            # append-only: the feed of (after, upto] is the batches in range
+            # append-only: the feed of (after, upto] is the commits in range
             if "insert" not in types:
                 raise FileNotFoundError(f"{name} is append-only: only inserts")
-            out = (self.read_batches(name, after, upto)
-                   .withColumn(CHANGE_TYPE, F.lit("insert"))
-                   .withColumn("_commit_version", F.col(info.partition_by)))
-            return out if with_meta else out.drop(CHANGE_TYPE, "_commit_version")
+            if not with_meta:
+                return self.read_batches(name, after, upto)
+            commit = F.regexp_extract(COMMIT_DIR, r"^(-?\d+)-", 1).cast("int")
+            return (self._read_commits(name, after, upto).withColumn("_commit_version", commit)
+                        .withColumn(CHANGE_TYPE, F.lit("insert")).drop(COMMIT_DIR))
         infos = [r for r in self._entries(name)
                  if (after is None or r["version"] > after) and (upto is None or r["version"] <= upto)]
         frames = []
-        feed_versions = [int(r["version"]) for r in infos if r["has_feed"]]
-        if feed_versions:
-            ch = (self.spark.read.option("mergeSchema", "true")
-                      .parquet(f"{self.path(name)}/{CHANGES}")
-                      .where(F.col("version").isin(feed_versions))
-                      .where(F.col(CHANGE_TYPE).isin(types))
-                      .withColumnRenamed("version", "_commit_version"))
-            frames.append(ch)
+        for r in infos:
+            if r["has_feed"]:
+                schema = T.StructType.fromJson(json.loads(r["feed_schema_json"]))
+                frames.append(self.spark.read.schema(schema).parquet(*r["feed_parts"])
+                              .where(F.col(CHANGE_TYPE).isin(types))
+                              .withColumn("_commit_version", F.lit(int(r["version"]))))
         if "insert" in types:
             for r in infos:
-                if r["feed_parts"]:
+                if r["feed_parts"] and not r["has_feed"]:
                     # whole-snapshot versions: their data files are the inserts
                     part_df = self._read_parts(name, list(r["feed_parts"]), r["partition_by"],
                                                r["schema_json"])
