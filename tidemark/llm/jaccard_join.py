@@ -337,18 +337,23 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sets = scratch.save(_sets(docs, k, sample), "sets")
-    reps = scratch.save(
-        sets.where(F.col("sig").isNotNull()).groupBy("sig").agg(
+    sampled = scratch.save(_sets(docs, k, sample), "sets")
+    distinct = scratch.save(
+        sampled.where(F.col("sig").isNotNull()).groupBy("sig").agg(
             F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sample").alias("sample"))
         .withColumn("uid", F.monotonically_increasing_id()), "distinct")
+    # the samples are large and serve the root's bound only
+    sets = scratch.save(sampled.drop("sample"), "sets-without-samples")
+    scratch.drop(sampled)
 
-    n_hashes = reps.agg(F.coalesce(F.sum(F.length("sample")), F.lit(0))).first()[0] // 8
+    n_hashes = distinct.agg(F.coalesce(F.sum(F.length("sample")), F.lit(0))).first()[0] // 8
     bits = max(0, int(np.ceil(np.log2(max(1, n_hashes / RANGE_KEYS)))))
-    sent = reps.select("uid", "n", "sample").mapInArrow(
+    sent = distinct.select("uid", "n", "sample").mapInArrow(
         _send_samples(bits, percent), "range long, batch long, uids binary, allowed binary, keys binary, places binary")
     own = sent.groupBy("range").applyInArrow(_own_shingles, "batch long, uids binary, allowed binary, counts binary")
     chosen = scratch.save(own.groupBy("batch").applyInArrow(_within, "uid long"), "within-bound")
+    reps = scratch.save(distinct.drop("sample"), "distinct-without-samples")
+    scratch.drop(distinct)
 
     who = chosen.join(reps.select("uid", "sig", "rep", "n", "copies"), "uid")
     # the texts again, of the documents that stand for these sets; equal ids are told apart by their set
@@ -388,7 +393,7 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
               .select("s", F.when(F.col("root").isNull(), F.col("rep")).otherwise(F.col("component")).alias("component"),
                       (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     answer = scratch.save(answer, "answer")
-    whole = sets.select("doc_id", "n", "sig")
+    whole = sets
     some = whole.where(F.col("sig").isNotNull()).join(answer, F.col("sig") == F.col("s")).select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "n_links")
     none = whole.where(F.col("sig").isNull()).select(
