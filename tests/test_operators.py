@@ -164,3 +164,20 @@ def test_reconcile_keeps_rounding_casts(spark):
     good, bad = reconcile_schema(df, target)
     assert sorted(r["amount"] for r in good.collect() if r["amount"] is not None) == [Decimal("1.24")]
     assert good.count() == 2 and [r["raw_row"] for r in bad.collect()] == ['{"amount":"x"}']
+
+
+def test_ratios_of_very_large_sums(spark):
+    """1e18 cents and more: products are taken on decimals, not on BIGINT."""
+    from tidemark.functions.exprs import round_ratio_decimal, round_ratio_half_up
+    df = spark.sql("SELECT 1000000000000000000L AS cents, 3L AS n, 5000000000000000000L AS p, 7000000000000000000L AS q")
+    r = df.select(round_ratio_half_up("cents", "n * 100000000").alias("a"), round_ratio_half_up("p * 100", "q").alias("b"),
+                  round_ratio_decimal("cents * 365", "n * 100000000", 27).alias("c")).first()
+    assert (r["a"], r["b"]) == (3333333333.33, 71.43) and str(r["c"]) == "1216666666666.67"
+
+
+def test_sample_is_a_seeded_subset(spark):
+    from tidemark.operators.quality import dq_sample
+    df = spark.range(40000).withColumnRenamed("id", "v")
+    got = dq_sample(df, 40000)
+    assert 250 < got.count() < 550 and got.exceptAll(df).isEmpty()
+    assert sorted(got.collect()) == sorted(dq_sample(df, 40000).collect())

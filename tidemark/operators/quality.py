@@ -66,18 +66,25 @@ class Expectation:
     mostly: float = 1.0
 
 
-def default_suite(amount_range=(5.0, 2000.0), min_rows: int = 100) -> list[Expectation]:
+# ---- fixed values (must stay as given): limits of the suite ------------------
+MIN_AMOUNT, TYPICAL_AMOUNT, TYPICAL_SHARE, MIN_ROWS = 0.01, (5.0, 2000.0), 0.99, 100
+# Inspection sample: at most this share of the rows, at most so many, this seed.
+SAMPLE_SHARE, SAMPLE_ROWS, SAMPLE_SEED = 0.01, 500_000, 42
+# ------------------------------------------------------------------------------
+
+
+def default_suite(amount_range=TYPICAL_AMOUNT, min_rows: int = MIN_ROWS) -> list[Expectation]:
     """The Silver -> Gold suite. Every check has an explicit severity."""
     lo, hi = amount_range
     return [
         Expectation("not_null_transaction_id", "not_null", "transaction_id"),
         Expectation("not_null_member_id", "not_null", "member_id"),
         Expectation("not_null_transaction_date", "not_null", "transaction_date"),
-        Expectation("amount_min", "between", "amount", min_value=0.01),
+        Expectation("amount_min", "between", "amount", min_value=MIN_AMOUNT),
         Expectation("channel_in_set", "in_set", "channel", values=VALID_CHANNELS),
         Expectation("tier_in_set", "in_set", "tier", values=VALID_TIERS),
         Expectation("amount_typical_range", "between", "amount", "warning",
-                    min_value=lo, max_value=hi, mostly=0.99),
+                    min_value=lo, max_value=hi, mostly=TYPICAL_SHARE),
         Expectation("row_count_min", "row_count", None, "warning", min_value=min_rows),
         Expectation("unique_transaction_id", "unique", "transaction_id"),
     ]
@@ -190,13 +197,13 @@ def gate(report: DataFrame) -> list[dict]:
     return failed
 
 
-def sample_fraction(total_rows: int, cap_rows: int = 500_000, max_fraction: float = 0.01) -> float:
+def sample_fraction(total_rows: int, cap_rows: int = SAMPLE_ROWS, max_fraction: float = SAMPLE_SHARE) -> float:
     """min(1 %, cap / n) -- the sampled share used for inspection."""
     if total_rows <= 0:
         return 0.0
     return min(max_fraction, cap_rows / total_rows)
 
 
-def dq_sample(df: DataFrame, total_rows: int, seed: int = 42) -> DataFrame:
+def dq_sample(df: DataFrame, total_rows: int, seed: int = SAMPLE_SEED) -> DataFrame:
     """Seeded Bernoulli sample for eyeballing; the gate itself scans everything."""
     return df.sample(fraction=sample_fraction(total_rows), seed=seed)
