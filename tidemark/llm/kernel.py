@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 1 << 17         # the arrays of a chunk stay within a core's cache
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15 | 3          # odd, so that it has an inverse
@@ -64,12 +64,19 @@ class Rolling:
             return np.zeros(0, dtype=_U)
         return mix((self.sums[ends] - self.sums[starts]) * powers(_PINV, int(starts.max()) + 1)[starts])
 
-    def all(self, k: int) -> np.ndarray:
-        """Hash of the k codes from each start 0 .. n-k; empty if there are fewer."""
+    def raw(self, k: int) -> np.ndarray:
+        """Unmixed hash of the k codes from each start 0 .. n-k (the high bits are spread, the low ones
+        are not); empty if there are fewer."""
         m = len(self.sums) - k
         if m <= 0:
             return np.zeros(0, dtype=_U)
-        return mix((self.sums[k:] - self.sums[:m]) * powers(_PINV, m))
+        out = self.sums[k:] - self.sums[:m]
+        out *= powers(_PINV, m)
+        return out
+
+    def all(self, k: int) -> np.ndarray:
+        """Hash of the k codes from each start 0 .. n-k."""
+        return mix(self.raw(k))
 
 
 @dataclass

@@ -50,14 +50,12 @@ class Anchors:
 
 
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of every w consecutive values, from running minima to and from the ends of blocks of w."""
-    n = len(x)
-    pad = np.full(-(-n // w) * w, np.iinfo(np.uint64).max, np.uint64)
-    pad[:n] = x
-    blocks = pad.reshape(-1, w)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(back[:n - w + 1], ahead[w - 1:n])
+    """Minimum of every w consecutive values: of 2, 4, 8 ... by doubling, then of two that overlap."""
+    size = 1
+    while 2 * size <= w:
+        x = np.minimum(x[:-size], x[size:])
+        size *= 2
+    return np.minimum(x[:len(x) - (w - size)], x[w - size:])
 
 
 def anchors(codes: np.ndarray, bounds: np.ndarray, k: int, window: int, rolling: kernel.Rolling | None = None) -> Anchors:
@@ -66,14 +64,15 @@ def anchors(codes: np.ndarray, bounds: np.ndarray, k: int, window: int, rolling:
     if not len(starts):
         return Anchors(none, none, none, none, none.astype(np.uint64), none.astype(np.uint64))
     rolling = rolling or kernel.Rolling(codes)
-    seeds = rolling.all(k)
-    key = (seeds & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(seeds), dtype=np.uint64)
+    seeds = rolling.raw(k)
+    key = seeds & np.uint64(0xFFFFFFFF00000000)
+    key |= np.arange(len(seeds), dtype=np.uint64)
     at = (_sliding_min(key, window - k + 1)[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     change = np.flatnonzero(np.diff(at)) + 1
     first, last = np.concatenate(([0], change)), np.concatenate((change - 1, [len(at) - 1]))
     pos, lo, hi = at[first], starts[first], starts[last]
     context = rolling.windows(lo, hi + window) ^ kernel.mix(((hi - lo) * 4096 + (pos - lo)).astype(np.uint64))
-    return Anchors(pos, lo, hi, np.searchsorted(bounds, lo, side="right") - 1, seeds[pos], kernel.mix(context))
+    return Anchors(pos, lo, hi, np.searchsorted(bounds, lo, side="right") - 1, kernel.mix(seeds[pos]), kernel.mix(context))
 
 
 class Cells:
