@@ -2,8 +2,8 @@
 
 The words of every source form a stream of equal blocks. Sources get whole
 blocks as seats: seat k of a source with target t has the quotient
-t / (2k + 1), and the highest quotients win. A source's seats go to its shards
-by the same rule. Within a shard, blocks are taken in a seeded order until the
+t / (2k + 1), and the highest quotients win. A source's seats go to bands of its
+shards, and a band's to its shards, by the same rule. Within a shard, blocks are taken in a seeded order until the
 shard's words are reached; the last block is cut to size, which settles what
 remains below one block.
 
@@ -30,6 +30,7 @@ CAP = 3
 BLOCK_WORDS = 64
 SHARD_WORDS = 1_000_000
 SHARD_DOCS = 20_000
+BAND_SHARDS = 4096
 
 
 def count_words(docs: DataFrame, text: str = "text", out: str = "size") -> DataFrame:
@@ -95,7 +96,7 @@ def fair_targets(sizes: np.ndarray, weights: np.ndarray, cap: int = CAP) -> np.n
 
 def mix_sources(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source",
                 weights: tuple = WEIGHTS, cap: int = CAP, block_words: int = BLOCK_WORDS,
-                shard_words: int = SHARD_WORDS, shard_docs: int = SHARD_DOCS, seed: int = 17) -> DataFrame:
+                shard_words: int = SHARD_WORDS, shard_docs: int = SHARD_DOCS, band_shards: int = BAND_SHARDS, seed: int = 17) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size (words), source_size, target (of its
     source, in words) and taken (words that the mix takes; a word taken twice counts twice).
 
@@ -126,37 +127,42 @@ def mix_sources(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
     placed = (sized.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("src"))).drop("src")
               .withColumn("shard", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.lit(seed)), F.col("n_shards"))))
-    # seats and words of each shard: a row per (source, shard), apportioned within its source
-    shards = placed.groupBy("source", "shard").agg(
-        F.sum("size").alias("shard_size"), F.first("wanted").alias("wanted"), F.first("seats").alias("seats"))
-    shares = shards.groupBy("source").applyInArrow(
-        _shard_words(block_words, cap), "source string, shard long, shard_wanted long, shard_seats long")
-    shares = shares.select(F.col("source").alias("src"), F.col("shard").alias("shd"), "shard_wanted", "shard_seats")
+    # seats and words of each band and shard: a task gets the bands of a source, or the shards of a band
+    shards = scratch.save(
+        placed.groupBy("source", "shard").agg(F.sum("size").alias("part_size"), F.first("wanted").alias("wanted"), F.first("seats").alias("seats"))
+        .withColumn("band", F.floor(F.col("shard") / band_shards)), "shards")
+    bands = shards.groupBy("source", "band").agg(F.sum("part_size").alias("part_size"), F.first("wanted").alias("wanted"), F.first("seats").alias("seats"))
+    bands = (bands.groupBy("source").applyInArrow(_apportion("band", block_words, cap), "source string, band long, wanted long, seats long")
+             .select(F.col("source").alias("src"), F.col("band").alias("bnd"), "wanted", "seats"))
+    shares = (shards.drop("wanted", "seats").join(bands, F.col("source").eqNullSafe(F.col("src")) & (F.col("band") == F.col("bnd")))
+              .select("source", "band", "shard", "part_size", "wanted", "seats").groupBy("source", "band")
+              .applyInArrow(_apportion("shard", block_words, cap), "source string, shard long, wanted long, seats long")
+              .select(F.col("source").alias("src"), F.col("shard").alias("shd"), F.col("wanted").alias("shard_wanted")))
     joined = placed.join(shares, F.col("source").eqNullSafe(F.col("src")) & (F.col("shard") == F.col("shd"))).drop("src", "shd", "wanted", "seats", "n_shards")
     joined = joined.select("doc_id", "source", "size", "source_size", "target", "shard", "shard_wanted")
     schema = joined.select("doc_id", "source", "size", "source_size", "target").withColumn("taken", F.lit(0).cast("long")).schema
     return joined.groupBy("source", "shard").applyInArrow(_take(block_words, seed), schema)
 
 
-def _shard_words(block: int, cap: int):
-    """Blocks and words of every shard of one source."""
+def _apportion(part: str, block: int, cap: int):
+    """Blocks and words of every part of a whole: of a source's bands, or of a band's shards."""
     def share(t: pa.Table) -> pa.Table:
-        t = t.sort_by("shard")
-        size = t["shard_size"].to_numpy()
+        t = t.sort_by(part)
+        size = t["part_size"].to_numpy()
         wanted, seats = int(t["wanted"][0].as_py()), int(t["seats"][0].as_py())
         quota = sainte_lague(size, seats, -(-(cap * size) // block))
         words = np.minimum(quota * block, cap * size)
-        # what whole blocks leave open goes to the shards in proportion to the room they have
+        # what whole blocks leave open goes to the parts in proportion to the room they have
         gap = wanted - int(words.sum())
         room = cap * size - words if gap > 0 else words
         if gap and room.sum():
-            part = np.floor(abs(gap) * (room / room.sum())).astype(np.int64)
-            rest = abs(gap) - int(part.sum())
-            part[np.argsort(part - room, kind="stable")[:rest]] += 1
-            part = np.minimum(part, room)
-            words = words + np.sign(gap) * part
-        return pa.table({"source": t["source"], "shard": t["shard"], "shard_wanted": pa.array(words, pa.int64()),
-                         "shard_seats": pa.array(quota, pa.int64())})
+            more = np.floor(abs(gap) * (room / room.sum())).astype(np.int64)
+            rest = abs(gap) - int(more.sum())
+            more[np.argsort(more - room, kind="stable")[:rest]] += 1
+            more = np.minimum(more, room)
+            words = words + np.sign(gap) * more
+        return pa.table({"source": t["source"], part: t[part], "wanted": pa.array(words, pa.int64()),
+                         "seats": pa.array(quota, pa.int64())})
     return share
 
 
