@@ -18,7 +18,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from tidemark.llm import (chat, decontaminate, jaccard_join, kernel, mixing, quality, repeats, rlz_dedup, suffix_dedup,
                           token_counts, topk, warc)
-from tidemark.llm.stage import Scratch
+from tidemark.llm.stage import Scratch, hot_keys, lookup
 
 SF = "/root/testdata/sf0.001"
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -207,8 +207,9 @@ def brute_join(rows, k=4, percent=85):
     return sorted(((rows[a][0], len(sets[a]), least[find(a)], links[a]) for a in range(len(rows))), key=str)
 
 
-@pytest.mark.parametrize("node,sample", [(1024, 4), (5, 1)])
-def test_jaccard_join(spark, node, sample):
+@pytest.mark.parametrize("node,sample,shingles", [(1024, 4, 1 << 22), (5, 1, 1 << 22), (1024, 4, 1 << 9)])
+def test_jaccard_join(spark, monkeypatch, node, sample, shingles):
+    monkeypatch.setattr(jaccard_join, "NODE_SHINGLES", shingles)
     rng = np.random.default_rng(5)
     rows = list(TEXTS)
     base = prose(77, 200).split()
@@ -221,6 +222,27 @@ def test_jaccard_join(spark, node, sample):
     assert sorted((tuple(r) for r in got.select("doc_id", "n_shingles", "component_id", "n_links").collect()), key=str) == brute_join(rows)
 
 
+def test_lookup_of_hot_keys_is_an_inner_join(spark):
+    scratch = Scratch(spark, "lookup-test")
+    rows = scratch.save(spark.range(3000).select(
+        F.col("id").alias("r"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).otherwise(F.lit(None)).cast("long").alias("k")), "rows")
+    entries = spark.range(0, 2000, 2).select(F.col("id").alias("on"), (F.col("id") * 10).alias("v")).union(spark.createDataFrame([(7, 70)], "on long, v long"))
+    hot = hot_keys(rows, "k", scratch)
+    assert 7 in {r["hot"] for r in hot.collect()} and hot.count() < 4 * 8
+    got = lookup(rows, "k", entries, "on", hot)
+    want = rows.join(entries, F.col("k") == F.col("on"))
+    assert table(got) == table(want) and got.columns == want.columns
+    assert lookup(rows.limit(0), "k", entries, "on", hot_keys(rows.limit(0), "k", scratch)).count() == 0
+
+
+def test_components_of_hubs_and_chains(spark):
+    hub = [(500, 1000 + i) for i in range(400)]
+    chain = [(i, i + 1) for i in range(100, 160)]
+    edges = spark.createDataFrame([*hub, *chain, (160, 1399), (3, 3000), (3, 3000)], "a long, b long")
+    got = {r["node"]: r["root"] for r in jaccard_join.components(edges, Scratch(spark, "components-test")).collect()}
+    assert got == {**{n: 100 for e in [*hub, *chain] for n in e}, 3: 3, 3000: 3}
+
+
 def test_jaccard_bounds_hold():
     rng = np.random.default_rng(1)
     for _ in range(200):
@@ -259,11 +281,11 @@ def test_sainte_lague_is_highest_quotients(votes, seats):
     assert np.allclose(quotient(got), quotient(want))
 
 
-@pytest.mark.parametrize("shard", [1_000_000, 120])
-def test_mixing(spark, shard):
+@pytest.mark.parametrize("shard,band", [(1_000_000, 4096), (120, 4096), (120, 2)])
+def test_mixing(spark, shard, band):
     rows = [(i, prose(i, n)) for i, n in enumerate([5, 900, 0, 33, 64, 65, 1, 128, 700, 2, 300, 41, 77, 8])] + [(None, "a b"), (4, "again twice"), (4, "again twice")]
     df = documents(spark, rows)
-    got = mixing.mix_sources(df, shard_words=shard, shard_docs=3)
+    got = mixing.mix_sources(df, shard_words=shard, shard_docs=3, band_shards=band)
     out = got.collect()
     assert len(out) == len(rows)
     by = defaultdict(list)
@@ -277,7 +299,7 @@ def test_mixing(spark, shard):
     for s, n, t in zip(sources, sizes, targets):
         assert all(r["source_size"] == n and abs(r["target"] - t) < 1e-6 for r in by[s])
         assert abs(sum(r["taken"] for r in by[s]) - t) <= 1
-    assert table(got) == table(mixing.mix_sources(df.repartition(3), shard_words=shard, shard_docs=3))
+    assert table(got) == table(mixing.mix_sources(df.repartition(3), shard_words=shard, shard_docs=3, band_shards=band))
     assert mixing.mix_sources(df.limit(0)).count() == 0
 
 

@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel
-from tidemark.llm.stage import Scratch, fingerprint, ranked
+from tidemark.llm.stage import Scratch, fingerprint, hot_keys, lookup, ranked
 
 SHINGLE = 4
 PERCENT = 85            # a link: 100 * intersection >= PERCENT * union
 GROUPS = 64
 NODE = 1024
+#: Shingles of a node's sets: nodes of long documents have fewer points, so that a task's memory is bounded.
+NODE_SHINGLES = 1 << 22
 LEAF = 32
 SAMPLE = 4              # of so many hashes one takes part in the root's bound
 RANGE_KEYS = 1 << 19
@@ -304,16 +306,19 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root): the smallest node that is reachable, for every node of ``edges`` (a, b).
 
     Each round takes the least label of a node's neighbours, then that label's own label, and is
-    written to the shared folder; paths shorten at least by half a round.
+    written to the shared folder; paths shorten at least by half a round. A node with very many
+    neighbours, or a label that very many nodes have, is looked up without gathering these.
     """
     both = scratch.save(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = scratch.save(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")).withColumnRenamed("a", "node"), "labels")
+    hubs = hot_keys(both, "b", scratch)
     while True:
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("root").alias("near"))
+        near = lookup(both, "b", labels, "node", hubs).groupBy("a").agg(F.min("root").alias("near"))
         stepped = labels.join(near, F.col("node") == F.col("a")).select("node", "root", F.least("root", "near").alias("stepped"))
         stepped = scratch.save(stepped, "stepped")
         up = stepped.select(F.col("node").alias("up"), F.col("stepped").alias("above"))
-        jumped = scratch.save(stepped.join(up, F.col("stepped") == F.col("up")).select("node", "root", F.col("above").alias("new")), "jumped")
+        common = hot_keys(stepped, "stepped", scratch)
+        jumped = scratch.save(lookup(stepped, "stepped", up, "up", common).select("node", "root", F.col("above").alias("new")), "jumped")
         changed = jumped.where(F.col("new") < F.col("root")).limit(1).count()
         scratch.drop(labels, stepped)
         labels = scratch.save(jumped.select("node", F.col("new").alias("root")), "labels")
@@ -362,7 +367,10 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     points = scratch.save(points, "points")
 
     placed = ranked(points.select("uid", "n", "v"), [F.col("n"), F.col("v"), F.col("uid")], scratch)
-    placed = scratch.save(placed.withColumn("node", F.floor(F.col("_rank") / node_points)).drop("_rank"), "tree")
+    # sets of a node have sizes of as many binary digits
+    digits = F.length(F.bin("n"))
+    points_of_node = F.greatest(F.lit(1), F.least(F.lit(node_points), F.floor(F.lit(NODE_SHINGLES) / F.pow(F.lit(2), digits))))
+    placed = scratch.save(placed.withColumn("node", digits.cast("long") * (1 << 48) + F.floor(F.col("_rank") / points_of_node)).drop("_rank"), "tree")
     nodes = scratch.save(placed.groupBy("node").applyInArrow(_box, "node long, least long, most long, lo array<bigint>, hi array<bigint>"), "nodes")
     # sizes of linked sets differ by a factor of percent/100 at most: by one class at most
     ratio = float(np.log(100 / percent)) * 1.0001
@@ -384,19 +392,19 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     found = scratch.save(involved.join(points, "uid").groupBy("x", "y").applyInArrow(_verify(percent), "uid long, links long, to long"), "links")
 
     root = components(found.where(F.col("to").isNotNull()).select(F.col("uid").alias("a"), F.col("to").alias("b")), scratch)
-    members = root.join(reps.select("uid", "rep"), F.col("node") == F.col("uid"))
+    members = scratch.save(root.join(reps.select("uid", "rep"), F.col("node") == F.col("uid")).select("node", "root", "rep"), "members")
     smallest = members.groupBy("root").agg(F.min("rep").alias("component")).withColumnRenamed("root", "r")
+    members = lookup(members, "root", smallest, "r", hot_keys(members, "root", scratch)).select("node", "component", F.lit(True).alias("in_one"))
     linked = found.groupBy("uid").agg(F.sum("links").alias("links")).withColumnRenamed("uid", "lu")
     answer = (reps.select("uid", F.col("sig").alias("s"), "rep", "copies")
-              .join(root, F.col("uid") == F.col("node"), "left").join(smallest, F.col("root") == F.col("r"), "left")
-              .join(linked, F.col("uid") == F.col("lu"), "left")
-              .select("s", F.when(F.col("root").isNull(), F.col("rep")).otherwise(F.col("component")).alias("component"),
+              .join(members, F.col("uid") == F.col("node"), "left").join(linked, F.col("uid") == F.col("lu"), "left")
+              .select("s", F.when(F.col("in_one"), F.col("component")).otherwise(F.col("rep")).alias("component"),
                       (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     answer = scratch.save(answer, "answer")
-    whole = sets
-    some = whole.where(F.col("sig").isNotNull()).join(answer, F.col("sig") == F.col("s")).select(
+    with_words = sets.where(F.col("sig").isNotNull())
+    some = lookup(with_words, "sig", answer, "s", hot_keys(with_words, "sig", scratch)).select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "n_links")
-    none = whole.where(F.col("sig").isNull()).select(
+    none = sets.where(F.col("sig").isNull()).select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return some.unionByName(none)
 

@@ -52,6 +52,21 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def hot_keys(rows: DataFrame, key: str, scratch: Scratch) -> DataFrame:
+    """(hot): the keys that more than one in 4 * tasks of the rows have, so fewer than 4 * tasks of them."""
+    most = rows.count() // (4 * tasks(rows.sparkSession))
+    return scratch.save(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > most).select(F.col(key).alias("hot")), "hot-keys")
+
+
+def lookup(rows: DataFrame, key: str, table: DataFrame, on: str, hot: DataFrame) -> DataFrame:
+    """``rows`` with their row of ``table``, whose ``on`` is unique, as an inner join, where any key may
+    have a large share of the rows. What ``table`` has for the keys in ``hot`` (of ``hot_keys``, so
+    few by construction) goes to the rows; all other rows are shuffled by key."""
+    few = table.join(F.broadcast(hot), F.col(on) == F.col("hot")).drop("hot")
+    rest = rows.join(F.broadcast(hot), F.col(key) == F.col("hot"), "left_anti")
+    return rows.join(F.broadcast(few), F.col(key) == F.col(on)).unionByName(rest.join(table, F.col(key) == F.col(on)))
+
+
 def fingerprint(text: str = "text"):
     """A 32-byte key of a whole text; a null text counts as empty."""
     return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
