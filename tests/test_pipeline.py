@@ -303,3 +303,45 @@ def test_rerun_quarantines_and_reads_one_day(spark, store):
     assert "PartitionFilters: [isnotnull(transaction_date" in plan
     month = filter_dates(store.read_table(pl.SILVER), day, day)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(transaction_month" in month
+
+
+# ---- vanished keys, mixed layouts -------------------------------------------------
+
+def _txn(spark, *made):
+    """Landing rows of (transaction_id, member_id, date, amount, batch_id)."""
+    return spark.createDataFrame(
+        [(t, m, dt.date.fromisoformat(d), float(a), 10, "web", "STR1", "basic", 0, b) for t, m, d, a, b in made],
+        "transaction_id string, member_id string, transaction_date date, amount double, points_earned int, "
+        "channel string, store_id string, tier string, redemption_points int, batch_id int"
+    ).withColumn("amount", F.col("amount").cast("decimal(10,2)"))
+
+
+def _run_to_gold(store, run_ts, delivery):
+    pl.load_landing(store, delivery)
+    pl.run_bronze(store, run_ts)
+    pl.run_silver(store, run_ts)
+    return pl.run_gold(store, dt.date(2024, 3, 1), run_ts)
+
+
+def test_member_that_vanishes_from_an_untouched_tier_is_deleted(spark, store):
+    first = _txn(spark, ("t1", "a", "2024-01-05", 6000, 1), ("t2", "b", "2024-01-06", 10, 1))
+    assert _run_to_gold(store, dt.datetime(2024, 2, 1), first)["mode"] == "full"
+    assert rows(store.read_table(pl.GOLD), "member_id", "current_tier") == [("a", "gold"), ("b", "bronze")]
+    # a's last transaction moves to c, at an amount that keeps c out of a's tier
+    moved = _txn(spark, ("t1", "c", "2024-01-05", 2000, 2))
+    before = store.current_version(pl.GOLD)
+    assert _run_to_gold(store, dt.datetime(2024, 2, 2), moved)["mode"] == "incremental"
+    assert rows(store.read_table(pl.GOLD), "member_id", "current_tier") == [("b", "bronze"), ("c", "silver")]
+    feed = store.read_changes(pl.GOLD, before, None, pl.ALL_CHANGES, with_meta=True)
+    assert rows(feed, "member_id", "_change_type") == [("a", "delete"), ("c", "insert")]
+
+
+def test_merge_with_only_delete_keys(spark, store):
+    base, _, other = _tables(spark)
+    store.create(base, "t", partition_by="m")
+    gone = spark.createDataFrame([("a",), ("x",)], "k string")
+    version = store.merge(other.limit(0), "t", ["k"], partition_by="m", delete_keys=gone)
+    assert rows(store.read_table("t")) == [("b", 2, "2024-02")]
+    assert rows(store.read_changes("t", 1, version, ("delete",))) == [("a", 1, "2024-01")]
+    assert store.touched_partitions("t", 1, version) == ["2024-01"]
+    assert rows(store.read_table("t", version=1)) == rows(base)

@@ -368,8 +368,9 @@ class TableStore:
         """Keyed upsert of ``source`` into the latest version of ``name``.
 
         With ``partition_by`` only the partitions holding a source row or the
-        current copy of a source key are read and rewritten; the new version
-        refers to every other partition folder of the previous version.
+        current copy of a source key or of a key in ``delete_keys`` are read
+        and rewritten; the new version refers to every other partition folder
+        of the previous version.
         Creates the table when it does not exist yet.
         """
         keys = [keys] if isinstance(keys, str) else list(keys)
@@ -380,12 +381,15 @@ class TableStore:
         if partition_by:
             current = self._read_parts(name, info.parts, partition_by, info.schema_json)
             # partitions holding a source row or the current copy of a source
-            # key; only the key and partition columns of the table are read
-            src_keys = source.select(*keys)
+            # or deleted key; only the key and partition columns of the table
+            # are read
+            looked_up = source.select(*keys)
+            if delete_keys is not None:
+                looked_up = looked_up.unionByName(delete_keys.select(*keys))
             touched = [r[0] for r in (
                 source.select(partition_by)
                       .union(current.select(*keys, partition_by)
-                                    .join(src_keys, keys, "left_semi").select(partition_by))
+                                    .join(looked_up, keys, "left_semi").select(partition_by))
                       .distinct().collect())]
             wanted = {f"{partition_by}={p}" for p in touched}
             keep = [p for p in info.parts if p.rsplit("/", 1)[-1] not in wanted]
