@@ -345,3 +345,26 @@ def test_merge_with_only_delete_keys(spark, store):
     assert rows(store.read_changes("t", 1, version, ("delete",))) == [("a", 1, "2024-01")]
     assert store.touched_partitions("t", 1, version) == ["2024-01"]
     assert rows(store.read_table("t", version=1)) == rows(base)
+
+
+def test_rerun_reads_day_loads_beside_month_loads(spark, store):
+    run_ts, day = dt.datetime(2024, 2, 1), dt.date(2024, 1, 5)
+    pl.load_landing(store, _txn(spark, ("t1", "a", "2024-01-05", 10, 1), ("t2", "a", "2023-11-05", 10, 1)))
+    pl.run_bronze(store, run_ts, by_month=True)
+    pl.load_landing(store, _txn(spark, ("t3", "b", "2024-01-05", 20, 2), ("t4", "b", "2024-01-06", 20, 2)))
+    pl.run_bronze(store, run_ts)
+    assert pl.run_silver(store, run_ts, rerun_date=day)["status"] == "ok"
+    assert rows(store.read_table(pl.SILVER), "transaction_id") == [("t1",), ("t3",)]
+    # each layout is pruned by its own partition column
+    plan = pl.bronze_day(store, day)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(transaction_month" in plan
+    assert "PartitionFilters: [isnotnull(transaction_date" in plan
+
+
+def test_upstream_month_column_does_not_cut_a_rerun(spark, store):
+    run_ts, day = dt.datetime(2024, 2, 1), dt.date(2024, 1, 5)
+    made = _txn(spark, ("t1", "a", "2024-01-05", 10, 1), ("t2", "a", "2024-01-05", 10, 1))
+    pl.load_landing(store, made.withColumn("transaction_month", F.when(F.col("transaction_id") == "t1", "Jan 24")))
+    pl.run_bronze(store, run_ts)
+    pl.run_silver(store, run_ts, rerun_date=day)
+    assert rows(store.read_table(pl.SILVER), "transaction_id") == [("t1",), ("t2",)]

@@ -127,14 +127,21 @@ def silver_batch(batch: DataFrame, target_schema, run_ts) -> tuple[DataFrame, Da
     return latest, quarantine
 
 
+def bronze_day(store: TableStore, day) -> DataFrame:
+    """Bronze rows of one business date, from loads of either layout: only the
+    folders of that day, or of its month in loads made ``by_month``, are read."""
+    def of_day(rows, partition_by):
+        return filter_dates(rows, day, day, month_col=partition_by if partition_by == "transaction_month" else None)
+    return store.read_batches(BRONZE, where=of_day)
+
+
 def run_silver(store: TableStore, run_ts, rerun_date=None) -> dict:
     last = store.get_last_version(JOB_SILVER)
     current = store.current_version(BRONZE)
     if current is None:
         return _result("silver", "skipped", reason="no bronze data")
     if rerun_date is not None:
-        # only the folders of that day (or of its month) are read
-        batch = filter_dates(store.read_batches(BRONZE), rerun_date, rerun_date)
+        batch = bronze_day(store, rerun_date)
     elif last is not None and last >= current:
         return _result("silver", "skipped", reason="no new bronze loads")
     else:

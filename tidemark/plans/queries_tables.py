@@ -109,8 +109,7 @@ def q_bronze_append(spark, sf_dir):
 @register("rerun_date_scan", f"""WITH {o.landing_cte()}
 SELECT {SEL_LANDING} FROM landing WHERE transaction_date = {o.date_lit(RANGE_END)}""")
 def q_rerun_date_scan(spark, sf_dir):
-    bronze = scenario(spark, sf_dir).read_batches(pl.BRONZE)
-    return _sel(filter_dates(bronze, RANGE_END, RANGE_END), LANDING_COLS)
+    return _sel(pl.bronze_day(scenario(spark, sf_dir), RANGE_END), LANDING_COLS)
 
 
 @register("silver_initial", f"WITH {BASE} SELECT {SEL_SILVER} FROM silver_a")

@@ -188,31 +188,35 @@ class TableStore:
         return version, rows
 
     def read_batches(self, name: str, after: int | None = None,
-                     upto: int | None = None) -> DataFrame:
+                     upto: int | None = None, where=None) -> DataFrame:
         """Rows of the published commits in (after, upto].
 
-        Commits of one schema are one scan, with that schema passed to the
-        reader (no inference); additive differences between commits are
-        reconciled by a union by name.
+        Commits of one schema and partition column are one scan, with that
+        schema passed to the reader (no inference); additive differences
+        between commits are reconciled by a union by name. ``where`` (rows,
+        partition column) -> rows is applied to each scan before the union, so
+        a filter can use the partition column that its commits do have.
         """
-        return self._read_commits(name, after, upto).drop(COMMIT_DIR)
+        return self._read_commits(name, after, upto, where).drop(COMMIT_DIR)
 
-    def _read_commits(self, name: str, after: int | None, upto: int | None) -> DataFrame:
+    def _read_commits(self, name: str, after: int | None, upto: int | None,
+                      where=None) -> DataFrame:
         infos = [r for r in self._entries(name) if (after is None or r["version"] > after)
                  and (upto is None or r["version"] <= upto)]
         if not self._entries(name):
             raise FileNotFoundError(f"table {name} has no published commit")
-        by_schema: dict[str, list] = {}
+        by_layout: dict[tuple, list] = {}
         for r in sorted(infos, key=lambda r: r["version"]):
-            by_schema.setdefault(r["schema_json"], []).extend(r["parts"])
-        if not by_schema:
+            by_layout.setdefault((r["schema_json"], r["partition_by"]), []).extend(r["parts"])
+        if not by_layout:
             schema = T.StructType.fromJson(json.loads(self.version_info(name).schema_json))
             return self.spark.createDataFrame([], schema).withColumn(COMMIT_DIR, F.lit(""))
         out = None
-        for schema_json, parts in by_schema.items():
+        for (schema_json, partition_by), parts in by_layout.items():
             schema = T.StructType.fromJson(json.loads(schema_json))
             df = (self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(*parts)
                       .select(*schema.fieldNames(), F.col(COMMIT_DIR).cast("string")))
+            df = df if where is None else where(df, partition_by)
             out = df if out is None else out.unionByName(df, allowMissingColumns=True)
         return out
 
