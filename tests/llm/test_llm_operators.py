@@ -353,6 +353,23 @@ def test_decontaminate_spans_and_empty(spark):
     assert none.where("contaminated or n_hit > 0").count() == 0 and none.count() == len(TEXTS)
 
 
+@pytest.mark.parametrize("limit", [250_000, 20])
+@pytest.mark.parametrize("remove", ["documents", "spans"])
+def test_decontaminate_keeps_columns_of_the_scans_names(spark, limit, remove):
+    items = spark.createDataFrame([(i, t) for i, t in ITEMS], "item_id long, text string")
+    names = ("n_words", "spans", "items", "n_hit", "n_items", "contaminated", "fp", "_fp", "t")
+    plain = documents(spark).where("text is not null")
+    clashing = plain.select("*", *[F.concat(F.lit(n), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(n) for n in names])
+    want = decontaminate.decontaminate(plain, items, remove=remove, slice_windows=limit)
+    got = decontaminate.decontaminate(clashing, items, remove=remove, slice_windows=limit)
+    assert got.columns == clashing.columns
+    rows = got.collect()
+    assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter(map(tuple, want.select("doc_id", "text").collect()))
+    assert all(r[n] == f"{n}{'-' if r['doc_id'] is None else r['doc_id']}" for r in rows for n in names)
+    digest = lambda docs: Counter(map(tuple, decontaminate.digest(decontaminate.scan(docs, items, slice_windows=limit)).collect()))
+    assert digest(clashing) == digest(plain)
+
+
 # -- 6 ------------------------------------------------------------------------
 
 def test_warc_audit_descends_to_the_damage(spark):

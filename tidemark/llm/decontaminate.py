@@ -177,19 +177,25 @@ def _by_slices(docs: DataFrame, windows: DataFrame, fields, text, schema, limit:
     merged = every.groupBy("fp").agg(
         F.max("n_words").alias("n_words"), _merged(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return (docs.select(*fields, fingerprint(text).alias("_fp")).join(merged, F.col("_fp") == F.col("fp"))
-            .select(*schema.fieldNames()))
+    # the documents' columns and those found here travel apart: any of their names may be equal
+    whole = docs.select(F.struct(*fields).alias("_doc"), fingerprint(text).alias("_fp"))
+    found = merged.select(F.col("fp").alias("_found_fp"), F.struct("n_words", "spans", "items").alias("_found"))
+    return whole.join(found, F.col("_fp") == F.col("_found_fp")).select("_doc.*", "_found.*")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, *, text: str = "text", remove: str = "documents", **options) -> DataFrame:
     """``docs`` without contaminated documents, or (``remove='spans'``) with the bytes from the first
-    to the last word of every hit run cut out of every text. Same columns as ``docs``; what is clean
-    stays as it is."""
-    found = scan(docs, items, text=text, **options)
+    to the last word of every hit run cut out of every text. Same columns as ``docs``, also those
+    that have names of the scan's columns; what is clean stays as it is."""
+    others = [c for c in docs.columns if c != text]
+    carried = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("_doc")] if others else []
+    found = scan(docs.select(*carried, F.col(text).alias("_text")), items, text="_text", **options)
+    kept = F.col("_text")
     if remove == "documents":
-        return found.where(~F.col("contaminated")).select(*docs.columns)
-    cut = F.udf(_without, "string")
-    return found.withColumn(text, F.when(F.size("spans") > 0, cut(F.col(text), F.col("spans"))).otherwise(F.col(text))).select(*docs.columns)
+        found = found.where(~F.col("contaminated"))
+    else:
+        kept = F.when(F.size("spans") > 0, F.udf(_without, "string")(F.col("_text"), F.col("spans"))).otherwise(kept)
+    return found.select(*[kept.alias(c) if c == text else F.col("_doc")[c].alias(c) for c in docs.columns])
 
 
 def _without(text: str, spans) -> str:
