@@ -259,6 +259,29 @@ def test_jaccard_bounds_hold():
     assert jaccard_join.overlaps(sets, sets, p, q).tolist() == [len(np.intersect1d(sets[i], sets[j])) for i, j in zip(p, q)]
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_jaccard_texts_of_one_id_meet_one_set_each(spark, monkeypatch, doc_id):
+    seen, real = spark.sparkContext.accumulator(0), jaccard_join._points
+
+    def counted(*args):
+        run = real(*args)
+
+        def rows(batches):
+            def tell():
+                for b in batches:
+                    seen.add(b.num_rows)
+                    yield b
+            return run(tell())
+        return rows
+
+    monkeypatch.setattr(jaccard_join, "_points", counted)
+    word = lambda i, j: f"w{i * 1000 + j}"
+    texts = [" ".join(word(i, j) for j in range(60 + more)) for i in range(20) for more in (0, 1)]
+    got = jaccard_join.jaccard_join(documents(spark, [(doc_id, t) for t in texts]), sample=1).collect()
+    assert Counter((r["component_id"], r["n_shingles"], r["n_links"]) for r in got) == {(doc_id, 57, 1): 20, (doc_id, 58, 1): 20}
+    assert 0 < seen.value <= len(texts)
+
+
 def test_jaccard_empty_and_keep_one(spark):
     assert jaccard_join.jaccard_join(documents(spark).limit(0)).count() == 0
     rows = [(3, prose(1, 50)), (1, prose(1, 50)), (1, prose(1, 50)), (2, prose(8, 50)), (None, prose(8, 50)), (5, None), (6, "")]

@@ -68,7 +68,7 @@ def signature(h: np.ndarray) -> bytes | None:
 
 
 def _sets(docs: DataFrame, k: int, sample: int) -> DataFrame:
-    """(doc_id, n, sig, sample) of every document."""
+    """(doc_id, fp, n, sig, sample) of every document of ``docs`` (doc_id, text, fp)."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,9 +79,9 @@ def _sets(docs: DataFrame, k: int, sample: int) -> DataFrame:
                     n.append(len(h))
                     sig.append(signature(h))
                     some.append(h[h % np.uint64(sample) == 0].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(some, pa.binary())],
-                                             ["doc_id", "n", "sig", "sample"])
-    return docs.mapInArrow(run, f"doc_id {id_type}, n long, sig binary, sample binary")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(some, pa.binary())],
+                                             ["doc_id", "fp", "n", "sig", "sample"])
+    return docs.mapInArrow(run, f"doc_id {id_type}, fp binary, n long, sig binary, sample binary")
 
 
 # -- the root's bound ---------------------------------------------------------
@@ -341,14 +341,15 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), fingerprint(text).alias("fp"))
     sampled = scratch.save(_sets(docs, k, sample), "sets")
     distinct = scratch.save(
         sampled.where(F.col("sig").isNotNull()).groupBy("sig").agg(
-            F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sample").alias("sample"))
-        .withColumn("uid", F.monotonically_increasing_id()), "distinct")
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")).alias("least"), F.count("*").alias("copies"),
+            F.first("n").alias("n"), F.first("sample").alias("sample"))
+        .withColumn("rep", F.col("least.doc_id")).withColumn("rep_fp", F.col("least.fp")).drop("least").withColumn("uid", F.monotonically_increasing_id()), "distinct")
     # the samples are large and serve the root's bound only
-    sets = scratch.save(sampled.drop("sample"), "sets-without-samples")
+    sets = scratch.save(sampled.drop("sample", "fp"), "sets-without-samples")
     scratch.drop(sampled)
 
     n_hashes = distinct.agg(F.coalesce(F.sum(F.length("sample")), F.lit(0))).first()[0] // 8
@@ -360,9 +361,10 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     reps = scratch.save(distinct.drop("sample"), "distinct-without-samples")
     scratch.drop(distinct)
 
-    who = chosen.join(reps.select("uid", "sig", "rep", "n", "copies"), "uid")
-    # the texts again, of the documents that stand for these sets; equal ids are told apart by their set
-    points = (docs.join(who, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "uid", "sig", "n", "copies")
+    who = chosen.join(reps.select("uid", "sig", "rep", "rep_fp", "n", "copies"), "uid")
+    # the texts again, of the documents that stand for these sets; a text has one set, so a row meets
+    # one of them at most, however many rows have its id or none
+    points = (docs.join(who, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("fp") == F.col("rep_fp"))).select("text", "uid", "sig", "n", "copies")
               .mapInArrow(_points(percent, k), "uid long, n long, copies long, v binary, set binary").dropDuplicates(["uid"]))
     points = scratch.save(points, "points")
 
