@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import chat, decontaminate, jaccard_join, mixing, quality, rlz_dedup, suffix_dedup, token_counts, topk, warc
+from tidemark.llm import (chat, decontaminate, hard_negatives, jaccard_join, mixing, quality, rlz_dedup, structure_repair, suffix_dedup,
+                          token_counts, topk, toxicity, warc)
 from tidemark.llm.stage import read
 
 
@@ -66,6 +67,21 @@ def op10_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return structure_repair.digest(structure_repair.repair(structure_repair.damage(rows), conversations=rows.select("conv_id")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op13_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 OP1_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -175,12 +191,77 @@ FROM d LEFT JOIN x USING (doc_id) LEFT JOIN k USING (doc_id)
 """
 
 
+def _op11_sql() -> str:
+    """Left to right over a conversation's rows: for each of the four states the least (cost, audit), as a
+    cost of 12 digits with the audit behind it, so that least() compares both."""
+    more = lambda cell, cost, letters: f"lpad(CAST(CAST(left({cell}, 12) AS BIGINT) + {cost} AS VARCHAR), 12, '0') || substr({cell}, 13) || {letters}"
+    gone = [more(f"a{q}", 2, "'D'") for q in range(4)]
+
+    def kept(p: int, letter: str) -> str:
+        stays = more(f"a{p}", "CASE fault WHEN 3 THEN 5 ELSE 0 END", "'K'")
+        if letter == "s":
+            return f"CASE WHEN fault IN (0, 3) AND c = 's' THEN {stays} END"
+        other = more(f"a{p}", "CASE fault WHEN 3 THEN 6 ELSE 1 END", "'R'")
+        return f"CASE WHEN fault IN (0, 3) THEN CASE WHEN c = '{letter}' THEN {stays} ELSE {other} END END"
+
+    return rf"""
+WITH RECURSIVE raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text FROM conversations),
+crc AS (SELECT range AS b, list_reduce(list_concat([CAST(range AS BIGINT)], range(8)), lambda c, y: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256)),
+tabled AS (SELECT list(v ORDER BY b) AS tab FROM crc),
+ruled AS (SELECT raw.*, xor(list_reduce(list_concat([4294967295], list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+              lambda c: CAST(ascii(c) AS BIGINT))), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS rule FROM raw, tabled),
+d AS (SELECT conv_id, turn, CASE rule WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE rule WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE rule WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+      FROM ruled WHERE rule <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+f AS MATERIALIZED (SELECT *, left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair,
+             CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 2
+                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault FROM o),
+p AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '000000000000' AS a0, CAST(NULL AS VARCHAR) AS a1, '000000000005I' AS a2, '000000000010II' AS a3 FROM raw
+      UNION ALL
+      SELECT conv_id, i, b0, b1, least(b2, {more("b0", 5, "'I'")}, {more("b1", 5, "'I'")}, {more("b3", 5, "'I'")}),
+             least(b3, {more("b2", 5, "'I'")}, {more("b0", 10, "'II'")}, {more("b1", 10, "'II'")})
+      FROM (SELECT p.conv_id, f.i, {gone[0]} AS b0, least({gone[1]}, {kept(0, "s")}) AS b1,
+                   least({gone[2]}, {kept(0, "u")}, {kept(1, "u")}, {kept(3, "u")}) AS b2, least({gone[3]}, {kept(2, "a")}) AS b3
+            FROM p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1)),
+v AS (SELECT conv_id, CAST(left(x, 12) AS BIGINT) AS cost, substr(x, 13) AS audit FROM (SELECT conv_id, arg_max(least(a0, a3), i) AS x FROM p GROUP BY conv_id)),
+g AS (SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, count(*) FILTER (fault = 1) AS blank,
+             count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+e AS (SELECT conv_id, letter, j, sum(CAST(letter <> 'I' AS INT)) OVER w AS i, sum(CAST(letter <> 'D' AS INT)) OVER w AS place,
+             sum(CAST(letter <> 'D' AS INT)) OVER (PARTITION BY conv_id) AS n
+      FROM (SELECT conv_id, unnest(string_split(audit, '')) AS letter, unnest(range(len(audit))) AS j FROM v WHERE audit <> '') WINDOW w AS (PARTITION BY conv_id ORDER BY j)),
+t AS (SELECT e.conv_id, string_agg(CASE letter WHEN 'K' THEN role || ':' || text ELSE CASE (place + n) % 2 WHEN 1 THEN 'user:' ELSE 'assistant:' END
+             || CASE letter WHEN 'R' THEN text ELSE '' END END, chr(10) ORDER BY j) AS repaired
+      FROM e JOIN f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.i = greatest(e.i, 1) WHERE letter <> 'D' GROUP BY e.conv_id)
+SELECT v.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM v LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM v.conv_id LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM v.conv_id
+"""
+
+
+OP12_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+      FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r FROM s WHERE same) WHERE r <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+             row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {f.__name__: f for f in (op1_block_topk, op2_chat_format, op3_jaccard_join, op4_source_mix, op5_decontaminate, op6_warc_fixity,
-                                     op7_token_counts, op8_suffix_dedup, op9_rlz_dedup, op10_quality_knn)}
+                                     op7_token_counts, op8_suffix_dedup, op9_rlz_dedup, op10_quality_knn, op11_structure_repair, op12_hard_negatives,
+                                     op13_toxicity_fm)}
     return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_block_topk": OP1_SQL, "op2_chat_format": OP2_SQL, "op3_jaccard_join": OP3_SQL, "op5_decontaminate": OP5_SQL,
-            "op6_warc_fixity": OP6_SQL, "op8_suffix_dedup": OP8_SQL, "op9_rlz_dedup": OP9_SQL}
+            "op6_warc_fixity": OP6_SQL, "op8_suffix_dedup": OP8_SQL, "op9_rlz_dedup": OP9_SQL,
+            "op11_structure_repair": _op11_sql(), "op12_hard_negatives": OP12_SQL}
