@@ -30,11 +30,11 @@ from tidemark.llm.stage import Scratch
 
 #: Labelled documents that fit the model, of either label: the bound on the sample.
 SAMPLE_TOXIC, SAMPLE_OTHER = 2_000, 4_000
-TERMS = 4_096
+TERMS = 1_024
 RANK = 8
 CUT = 0.7
 #: A term is kept if this many documents of the sample have it.
-LEAST_DOCS = 3
+LEAST_DOCS = 6
 
 _HEADS, _TAILS = (3, 4, 5, 6, 7), (4, 5, 6)
 
@@ -113,7 +113,7 @@ class Machine:
 
 
 def train(docs: list[np.ndarray], labels: np.ndarray, n_terms: int, *, rank: int = RANK, rounds: int = 30, batch: int = 64,
-          step: float = 0.1, decay: float = 1e-4, seed: int = 1) -> Machine:
+          step: float = 0.1, decay: float = 3e-4, seed: int = 1) -> Machine:
     """Fit a machine to documents given as arrays of different term numbers, by AdaGrad on the logistic
     loss over shuffled batches; equal arguments give equal machines. Without documents, or with labels of
     one kind, only the bias is set."""
