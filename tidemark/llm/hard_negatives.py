@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.stage import Scratch
 from tidemark.llm.topk import quantise
 
-LEAF = 32
-FAN = 64
+LEAF = 128
+FAN = 16
 SHARD = 8_192
 SHARD_BYTES = 1 << 25
 BATCH = 2_048
@@ -149,15 +149,18 @@ class Forest:
         self.largest = float(np.abs(x).max(initial=0.0))
         self.as_float = x
         self.centres = x[self.centre]
+        self.cos, self.sin = np.cos(self.radius), np.sin(self.radius)
         self.verified = 0
 
     def bounds(self, nodes, q: np.ndarray, norm: float) -> tuple[np.ndarray, np.ndarray]:
         """Least and largest score that a candidate below each node can have, some rounding allowed for."""
         scale = norm * self.tree_most[nodes]
-        angle = np.arccos(np.clip((self.centres[nodes] @ q) / np.maximum(scale, 1e-300), -1, 1))
+        c = np.clip((self.centres[nodes] @ q) / np.maximum(scale, 1e-300), -1, 1)
+        s, cw, sw = np.sqrt(1 - c * c), self.cos[nodes], self.sin[nodes]
         slack = 1e-6 + 1e-7 * scale
-        low = scale * np.cos(np.minimum(angle + self.radius[nodes], np.pi)) - slack
-        return low, scale * np.cos(np.maximum(angle - self.radius[nodes], 0)) + slack
+        # cos(a + w) and cos(a - w), where these angles stay between 0 and pi
+        low, high = np.where(c <= -cw, -1.0, c * cw - s * sw), np.where(c >= cw, 1.0, c * cw + s * sw)
+        return scale * low - slack, scale * high + slack
 
     def search(self, q: np.ndarray, roots: np.ndarray, own: int, windows: np.ndarray, k: int) -> list[list[tuple]]:
         """For each window (least, largest score) the k best (-score, vec_id, row) within it, best first;
@@ -166,23 +169,25 @@ class Forest:
         norm = float(np.sqrt(qf @ qf))
         exact = self.largest * float(np.abs(qf).max(initial=0.0)) * max(1, len(q)) < 2.0 ** 52
         points, qe = (self.as_float, qf) if exact else (self.x, q)
-        low, high = windows[:, 0].astype(np.float64), windows[:, 1].astype(np.float64)
-        need = low.copy()                                   # a score below it can't come in any more
+        need, high = windows[:, 0].copy(), windows[:, 1]    # a score below need can't come in any more
         found: list[list[tuple]] = [[] for _ in windows]
         heap: list[tuple[float, int]] = []
+        top, bottom = high.max(initial=_LOW), need.min(initial=_HIGH)
 
         def push(nodes: np.ndarray) -> None:
             least, most = self.bounds(nodes, qf, norm)
-            reach = np.minimum(most[:, None], high[None, :])
-            fits = (reach >= need[None, :]) & (least[:, None] <= high[None, :])
-            for i in np.flatnonzero(fits.any(axis=1)):
-                heapq.heappush(heap, (-float(reach[i][fits[i]].max()), int(nodes[i])))
+            upto = high.astype(np.float64)
+            reach = np.minimum(most[:, None], upto)
+            fits = (reach >= need.astype(np.float64)) & (least[:, None] <= upto)
+            ahead = np.where(fits, reach, -np.inf).max(axis=1, initial=-np.inf)
+            for i in np.flatnonzero(ahead > -np.inf):
+                heapq.heappush(heap, (-float(ahead[i]), int(nodes[i])))
 
         if len(roots):
             push(roots)
         while heap:
             best, node = heapq.heappop(heap)
-            if -best < need.min():
+            if -best < float(bottom):
                 break
             if self.end[node]:
                 push(np.arange(self.child[node], self.end[node]))
@@ -190,6 +195,8 @@ class Forest:
             lo, hi = int(self.low[node]), int(self.high[node])
             self.verified += hi - lo
             scores = points[lo:hi] @ qe
+            if not len(windows) or not ((scores >= bottom) & (scores <= top)).any():
+                continue
             for w in range(len(windows)):
                 hit = np.flatnonzero((scores >= need[w]) & (scores <= high[w]) & (self.rows[lo:hi] != own))
                 if len(hit):
@@ -197,6 +204,7 @@ class Forest:
                     found[w] = heapq.nsmallest(k, both)
                     if len(found[w]) == k:
                         need[w] = max(need[w], -found[w][-1][0])
+            bottom = need.min()
         return found
 
 
