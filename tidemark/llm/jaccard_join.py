@@ -412,10 +412,11 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; same columns. Rows of
-    this id that repeat the same text become one; rows without an id are not judged and stay."""
+    """``docs`` with one document of each component, that of the smallest id; same columns, which travel
+    in one struct, so that no name of theirs meets one used here. Rows of this id that repeat the same
+    text become one; rows without an id are not judged and stay."""
     joined = jaccard_join(docs, doc_id=doc_id, text=text, **options)
-    keep = joined.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    stay = docs.join(keep, F.col(doc_id) == F.col("_kept"), "left_semi")
-    once = stay.withColumn("_text", fingerprint(text)).dropDuplicates([doc_id, "_text"]).drop("_text")
-    return once.unionByName(docs.where(F.col(doc_id).isNull()))
+    keep = joined.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{doc_id}`").alias("doc_id"), fingerprint(f"`{text}`").alias("fp"))
+    once = rows.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "fp"])
+    return once.unionByName(rows.where(F.col("doc_id").isNull())).select("row.*")

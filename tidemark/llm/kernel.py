@@ -5,12 +5,16 @@ arrays over the UTF-8 bytes that Spark hands over in Arrow batches; nothing
 loops over words in Python. Spark does the partitioning and the shuffles.
 
 Hashes are 64-bit sums modulo 2**64: a sequence x_0 .. x_{k-1} becomes
-mix(sum(code(x_i) * P**i)), so that one prefix sum answers every window. They
-stand for equality; operators that must not rely on them compare the text.
+mix(sum(code(x_i) * P**i)), so that one prefix sum answers every window. Such sums
+have equal values for some sequences of 1,024 and more (two letters in the order
+of Thue and Morse and their complement), so they serve sequences of up to
+LONGEST and words beyond it get a cryptographic code. Hashes stand for equality;
+operators that must not rely on 64 bits take two, or compare the text.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 17         # the arrays of a chunk stay within a core's cache
+LONGEST = 64                  # bytes of a word that a sum stands for
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15 | 3          # odd, so that it has an inverse
@@ -133,7 +138,10 @@ class Words:
 
     def codes(self) -> np.ndarray:
         """A 64-bit code for each word's bytes."""
-        return Rolling(_CODE[self.data]).windows(self.starts, self.ends)
+        out = Rolling(_CODE[self.data]).windows(self.starts, self.ends)
+        for i in np.flatnonzero(self.ends - self.starts > LONGEST):
+            out[i] = int.from_bytes(hashlib.blake2b(self.data[self.starts[i]:self.ends[i]], digest_size=8).digest(), "little")
+        return out
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i]:self.ends[i]].tobytes()

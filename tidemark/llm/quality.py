@@ -201,6 +201,8 @@ def classify(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, cut: float = CUT, **options) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects (score below ``cut``); same columns."""
+    """``docs`` without the rows that the classifier rejects (score below ``cut``); same columns, which
+    travel in one struct, so that no name of theirs meets one of the classifier's."""
     model = fit(docs, labels, **options)
-    return score(docs, model, options.get("text", "text"), "_score").where(F.col("_score") >= cut).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{options.get('text', 'text')}`").alias("text"))
+    return score(rows, model).where(F.col("score") >= cut).select("row.*")

@@ -29,6 +29,7 @@ from tidemark.llm.stage import Scratch
 
 WINDOW = 35
 SEED = 12
+_SALT = np.uint64(0x5851F42D4C957F2D)
 
 
 class _Block:
@@ -97,21 +98,24 @@ def removed_words(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     second = scratch.save(repeats.answer_contexts(cells.per_cell(send_phrases, repeats.SENT_PLACES, first), 2, with_reference=True), "index")
     replies = first.unionByName(second)
 
-    def boundary(b: _Block, on, x, replies) -> tuple[np.ndarray, np.ndarray]:
+    def boundary(b: _Block, on, x, replies) -> tuple[np.ndarray, repeats.Contexts]:
         """Starts of the windows to compare, and their hashes: those of each distinct phrase, in the
-        first block that has it, whose seed has other phrases too."""
+        first block that has it, whose seed has other phrases too. A window is told by two hashes, 128
+        bits, as at the size of a large corpus some of 64 would agree by chance."""
         codes = replies.get(2, np.zeros(0, np.uint8))
         held = on[x.first[np.flatnonzero((codes & MANY > 0) & (codes & EARLIER == 0))]]
         size = b.a.hi[held] - b.a.lo[held] + 1
         starts = np.repeat(b.a.lo[held] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(int(size.sum())) if len(held) else np.zeros(0, np.int64)
-        return starts, kernel.Rolling(b.codes).windows(starts, starts + window)
+        again = kernel.Rolling(kernel.mix(b.codes ^ _SALT)).windows(starts, starts + window)
+        return starts, repeats.contexts(kernel.Rolling(b.codes).windows(starts, starts + window), again, starts)
 
     def send_windows(t, replies):
         b = _Block(t, window, seed)
         on, x = phrases(b, replies)
-        return repeats.send(bits, np.unique(boundary(b, on, x, replies)[1]), b.block)
+        w = boundary(b, on, x, replies)[1]
+        return repeats.send(bits, w.seed, b.block, contexts=w.context)
 
-    third = scratch.save(repeats.answer_keys(cells.per_cell(send_windows, repeats.SENT, replies), 3), "windows")
+    third = scratch.save(repeats.answer_contexts(cells.per_cell(send_windows, repeats.SENT_CONTEXTS, replies), 3), "windows")
     replies = replies.unionByName(third)
 
     id_type = docs.schema["_id"].dataType.simpleString()
@@ -145,8 +149,8 @@ def removed_words(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
                 np.add.at(step, hi[long], -1)
                 np.add.at(n_factors, doc, 1)
                 np.maximum.at(longest, doc, hi - lo)
-            starts, hashes = boundary(b, on, x, replies)
-            again, _ = repeats.seen(hashes, starts, replies.get(3, np.zeros(0, np.uint8)))
+            starts, w = boundary(b, on, x, replies)
+            again = ((w.hi > w.lo) | (replies.get(3, np.zeros(0, np.uint8)) & OTHER > 0))[w.inverse]
             np.add.at(step, starts[again], 1)
             np.add.at(step, starts[again] + window, -1)
         mask = np.cumsum(step[:-1]) > 0

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.stage import Scratch
+
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pre-tokenisation pattern that belongs to the 50k byte-level BPE vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -106,6 +108,7 @@ def token_counts(docs: DataFrame, **options) -> DataFrame:
     """The histogram of encoded lengths with its suffix sums, a row per length that occurs.
 
     Null and empty texts are documents of 0 tokens; repeated rows count as often as they occur; other
-    columns are ignored. An empty table gives no rows.
+    columns are ignored. An empty table gives no rows. The histogram, a row per length, is written
+    once, as the sums read it twice and texts are to be encoded once.
     """
-    return suffix_sums(length_histogram(docs, **options))
+    return suffix_sums(Scratch(docs.sparkSession, "token-counts").save(length_histogram(docs, **options), "histogram"))
