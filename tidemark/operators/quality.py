@@ -125,13 +125,26 @@ def expectation_report(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     result has one row per expectation and never holds table data.
     """
     row_level = [e for e in suite if e.kind != "unique"]
+    one = df.agg(*measures(row_level)) if row_level else None
+    return judged(suite, one, lambda e: df.groupBy(e.column).count())
+
+
+def measures(row_level: list[Expectation]) -> list:
+    """Aggregates n0, u0, n1, u1, ...: elements and unexpected ones of each row-level expectation. They
+    are counts, so those of parts of a table add up to those of the whole."""
     aggs = []
     for i, e in enumerate(row_level):
         n, u = _measure_exprs(e)
         aggs += [F.expr(n).alias(f"n{i}"), F.expr(u).alias(f"u{i}")]
+    return aggs
+
+
+def judged(suite: list[Expectation], one: DataFrame | None, key_counts) -> DataFrame:
+    """The report of ``expectation_report`` from its counts: ``one`` row of ``measures``, and
+    ``key_counts(e)``, the rows per key (columns: key, count) of a uniqueness expectation."""
+    row_level = [e for e in suite if e.kind != "unique"]
     parts = []
     if row_level:
-        one = df.agg(*aggs)
         structs = []
         for i, e in enumerate(row_level):
             mostly_bp = int(round(e.mostly * 10000))
@@ -153,7 +166,7 @@ def expectation_report(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     for e in (e for e in suite if e.kind == "unique"):
         # one grouped pass gives both the non-null count and the rows whose
         # key repeats; partial aggregation keeps a hot key map-side.
-        g = df.groupBy(e.column).count()
+        g = key_counts(e)
         nn = F.col(e.column).isNotNull()
         parts.append(g.agg(
             F.coalesce(F.sum(F.when(nn, F.col("count"))), F.lit(0)).cast("long")
@@ -207,3 +220,14 @@ def sample_fraction(total_rows: int, cap_rows: int = SAMPLE_ROWS, max_fraction:
 def dq_sample(df: DataFrame, total_rows: int, seed: int = SAMPLE_SEED) -> DataFrame:
     """Seeded Bernoulli sample for eyeballing; the gate itself scans everything."""
     return df.sample(fraction=sample_fraction(total_rows), seed=seed)
+
+
+def sample_by_key(df: DataFrame, key: str, seed: int = SAMPLE_SEED, cap_rows: int = SAMPLE_ROWS, max_fraction: float = SAMPLE_SHARE) -> DataFrame:
+    """Rows whose hashed key is below min(max_fraction, cap_rows / rows): the sample depends on the keys
+    alone, not on how rows are partitioned or ordered, and a key is in with all of its rows. Rows without a
+    key are never in. An empty table gives an empty sample."""
+    share = F.least(F.lit(int(max_fraction * 2 ** 32)), F.lit(cap_rows * 2 ** 32) / F.count("*"))
+    # one row, so the join with it is a broadcast of a number
+    least = df.agg(F.lpad(F.lower(F.hex(F.floor(share).cast("long"))), 8, "0").alias("_upto"))
+    hashed = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")), 1, 8)
+    return df.join(F.broadcast(least), hashed < least["_upto"]).select(*[df[c] for c in df.columns])

@@ -225,7 +225,7 @@ def q_silver_month(spark, sf_dir):
 
 def _load_all() -> None:
     # table/pipeline queries register themselves on import
-    from tidemark.plans import queries_tables  # noqa: F401
+    from tidemark.plans import queries_incremental, queries_tables  # noqa: F401
 
 
 def oracle_sql() -> dict:

@@ -18,8 +18,8 @@ from tidemark.functions.exprs import TIER_ORDER, month_of
 from tidemark.operators.dedup import TRANSACTION_TIEBREAK, ingest_order, latest_per_key
 from tidemark.operators.enrich import enrich
 from tidemark.operators.merge import CHANGE_TYPE, capture_changes, upsert
-from tidemark.operators.quality import (default_suite, dq_sample, duplicate_keys,
-                                        expectation_report, split_rules)
+from tidemark.operators.quality import (default_suite, duplicate_keys, expectation_report,
+                                        sample_by_key, split_rules)
 from tidemark.operators.schema import reconcile_schema
 from tidemark.operators.scd2 import tier_as_of, tier_changes
 from tidemark.operators.summary import affected_keys
@@ -246,11 +246,13 @@ def q_dq_gate(spark, sf_dir):
     return scenario(spark, sf_dir).read_table(pl.GATE)
 
 
-@register("dq_sample")
+@register("dq_sample", f"""WITH {BASE}
+SELECT {SEL_SILVER} FROM silver
+WHERE substr(md5('42:' || transaction_id), 1, 8)
+      < lpad(printf('%x', least(42949672, CAST(floor(500000 * 4294967296 / (SELECT COUNT(*) FROM silver)) AS BIGINT))), 8, '0')""")
 def q_dq_sample(spark, sf_dir):
-    """Rows-only: seeded sample of Silver for inspection (a sampling operator)."""
-    silver = scenario(spark, sf_dir).read_table(pl.SILVER)
-    return dq_sample(silver, max(silver.count(), 1))
+    """Seeded sample of Silver for inspection, by key."""
+    return _sel(sample_by_key(scenario(spark, sf_dir).read_table(pl.SILVER), "transaction_id"))
 
 
 # ---- reconcile ------------------------------------------------------------------

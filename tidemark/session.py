@@ -100,6 +100,13 @@ def list_folder(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in fs.listStatus(p))
 
 
+def find_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Paths of the partition folders ``depth`` levels below ``path``, in one listing."""
+    fs, _ = _fs(spark, path)
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path + "/*=*" * depth))
+    return sorted(f"{path}/" + "/".join(x.getPath().toString().rsplit("/", depth)[1:]) for x in found)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

@@ -3,7 +3,7 @@
 Layout below one root folder (a shared file system path on a cluster):
 
   <root>/<name>/tm_commit=<n>-<attempt>/[<part>=<value>/]... append-only table, commit n
-  <root>/<name>/tm_version=<n>-<attempt>/<part>=<value>/... keyed table, files of version n
+  <root>/<name>/tm_version=<n>-<attempt>/<part>=<value>/[tm_bucket=<b>/]... keyed table, files of version n
   <root>/<name>/_changes/version=<n>-<attempt>/...          change feed rows of version n
   <root>/_log/table_name=<name>/version=<n>/   one row per published version:
         operation, row metrics, and the data folders making up the version
@@ -14,6 +14,11 @@ version, and the retry writes elsewhere. A version exists once its log row is
 written (last). A log that can't be read is an error, never an empty store. A
 keyed version lists its data folders, so a merge rewrites only the partitions
 it touches and keeps referring to the untouched folders of older versions.
+Partitions are told apart by value, not by folder name (Spark escapes names). A
+bucketed table has folders by hash of the key below its partitions: a key's copy
+can only be in its bucket, whichever partition holds it, so a merge looks for
+old copies in the buckets of its source's keys and rewrites (partition, bucket)
+folders, whose number follows the batch and not the table.
 """
 
 from __future__ import annotations
@@ -22,18 +27,20 @@ import datetime as dt
 import json
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.merge import CHANGE_TYPE, upsert_with_changes
-from tidemark.session import delete_path, list_folder, path_exists
+from tidemark.session import delete_path, find_folders, path_exists
 
 LOG = "_log"
 CHANGES = "_changes"
 VERSION_DIR = "tm_version"   # folder key of a keyed version; dropped on read
 COMMIT_DIR = "tm_commit"     # folder key of an append-only commit
+BUCKET = "tm_bucket"         # folder key of a hash bucket; not a column of the table
 JOB_VERSIONS = "job_versions"
 
 LOG_SCHEMA = T.StructType([
@@ -52,9 +59,36 @@ LOG_SCHEMA = T.StructType([
     T.StructField("feed_schema_json", T.StringType()),
     T.StructField("touched", T.ArrayType(T.StringType())),  # partition values rewritten
     T.StructField("state", T.MapType(T.StringType(), T.LongType())),  # control state
+    T.StructField("bucket_by", T.ArrayType(T.StringType())),  # key columns that the buckets hash
+    T.StructField("buckets", T.LongType()),
 ])
 
 
+def as_value(value) -> str | None:
+    """A partition value as folders have it: Spark writes null and an empty text alike, and reads both
+    as null."""
+    if isinstance(value, bool):
+        return str(value).lower()
+    return None if value is None or str(value) == "" else str(value)
+
+
+def folder_values(folder: str) -> tuple[str | None, ...]:
+    """The partition value (and bucket) of a data folder, from its path below its version's folder."""
+    names = folder.rsplit(f"/{VERSION_DIR}=", 1)[1].split("/")[1:]
+    values = [x.split("=", 1)[1] for x in names]
+    return tuple(None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v) for v in values)
+
+
+def folder_id(folder: str) -> str:
+    """A short name of a data folder: the attempt that wrote it, its partition value and bucket."""
+    attempt = folder.rsplit(f"/{VERSION_DIR}=", 1)[1].split("/")[0]
+    return "|".join([attempt, *[v or "" for v in folder_values(folder)]])
+
+
+def bucket_of(columns, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(int(buckets)).cast("long"))
+
+
 @dataclass
 class VersionInfo:
     version: int
@@ -65,6 +99,18 @@ class VersionInfo:
     feed_parts: list
     has_feed: bool
     schema_json: str | None = None
+    bucket_by: list | None = None
+    buckets: int | None = None
+    state: dict | None = None
+
+    def of_partitions(self, values) -> list:
+        """The folders of these partition values."""
+        wanted = {as_value(v) for v in values}
+        return [p for p in self.parts if folder_values(p)[0] in wanted]
+
+    @property
+    def layout(self) -> dict:
+        return {"partition_by": self.partition_by, "bucket_by": self.bucket_by, "buckets": self.buckets}
 
 
 class TableStore:
@@ -153,7 +199,7 @@ class TableStore:
         r = rows[0]
         return VersionInfo(int(r["version"]), r["operation"], r["kind"], r["partition_by"],
                            list(r["parts"] or []), list(r["feed_parts"] or []),
-                           bool(r["has_feed"]), r["schema_json"])
+                           bool(r["has_feed"]), r["schema_json"], r["bucket_by"], r["buckets"], r["state"])
 
     def exists(self, name: str) -> bool:
         return self.current_version(name) is not None
@@ -271,8 +317,7 @@ class TableStore:
             return self.read_batches(name, None, upto)
         parts = info.parts
         if partitions is not None and info.partition_by:
-            wanted = {f"{info.partition_by}={p}" for p in partitions}
-            parts = [p for p in parts if p.rsplit("/", 1)[-1] in wanted]
+            parts = info.of_partitions(partitions)
         return self._read_parts(name, parts, info.partition_by, info.schema_json)
 
     def _read_parts(self, name: str, parts: list, partition_by: str | None,
@@ -294,50 +339,64 @@ class TableStore:
         return out.select(*schema.fieldNames()) if schema is not None else out
 
     def _write_version(self, df: DataFrame, name: str, version: int,
-                       partition_by: str | None, cluster_by: list | None) -> tuple[list, int]:
-        out = df
+                       partition_by: str | None, cluster_by: list | None,
+                       bucket_by: list | None = None, buckets: int | None = None,
+                       rows_per_file: int | None = None) -> tuple[list, int]:
+        out = df.withColumn(BUCKET, bucket_of(bucket_by, buckets)) if bucket_by else df
+        folders = ([partition_by] if partition_by else []) + ([BUCKET] if bucket_by else [])
         if cluster_by:
             # clustering inside the partitions: a range sort co-locates keys,
             # so Parquet min/max statistics skip files for key lookups. Staged
             # first, as choosing the ranges evaluates the input once more.
-            order = ([partition_by] if partition_by else []) + list(cluster_by)
-            out = self.stage(df, f"{name}-cluster").repartitionByRange(*order).sortWithinPartitions(*order)
-        elif partition_by:
+            order = folders + list(cluster_by)
+            out = self.stage(out, f"{name}-cluster").repartitionByRange(*order).sortWithinPartitions(*order)
+        elif folders:
             # optimized write: rows of one partition value go to few tasks
             # (AQE splits an oversized value and merges small ones), so a
             # version adds a few files per partition instead of one per task.
-            out = out.hint("rebalance", partition_by)
+            out = out.hint("rebalance", *folders)
         obs = Observation(f"write_{uuid.uuid4().hex[:10]}")
         writer = out.observe(obs, F.count(F.lit(1)).alias("rows")).write
         vdir = self._vdir(name, version)
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
+        if folders:
+            writer = writer.partitionBy(*folders)
+        if rows_per_file:
+            writer = writer.option("maxRecordsPerFile", rows_per_file)
         writer.parquet(vdir)
         rows = int(obs.get.get("rows", 0))
-        if not partition_by:
+        if not folders:
             return [vdir], rows
-        # one listing of this attempt's own folder: one name per partition value
-        return [f"{vdir}/{f}" for f, _, _ in list_folder(self.spark, vdir)
-                if f.startswith(f"{partition_by}=")], rows
+        # one listing of this attempt's own folder: one name per partition value and bucket
+        return find_folders(self.spark, vdir, len(folders)), rows
 
     def create(self, df: DataFrame, name: str, partition_by: str | None = None,
                cluster_by: list | None = None, version: int | None = None,
-               operation: str = "CREATE") -> int:
-        """Write a whole new snapshot as the next version (insert feed = data)."""
+               operation: str = "CREATE", bucket_by: list | None = None, buckets: int | None = None,
+               consumed: dict | None = None, rows_per_file: int | None = None) -> int:
+        """Write a whole new snapshot as the next version (insert feed = data). ``bucket_by`` names
+        the key columns (all or some of a later merge's keys) whose hash deals rows to ``buckets``
+        folders below each partition. ``consumed`` (table -> version) is published with the version, so
+        that what went into it and its rows can't disagree after a crash."""
         if version is None:
             cur = self.current_version(name)
             version = 1 if cur is None else cur + 1
-        parts, rows = self._write_version(df, name, version, partition_by, cluster_by)
+        parts, rows = self._write_version(df, name, version, partition_by, cluster_by, bucket_by, buckets, rows_per_file)
         self._write_log(name, version, {"operation": operation, "kind": "keyed",
                                         "partition_by": partition_by, "parts": parts,
                                         "feed_parts": parts, "has_feed": False,
                                         "schema_json": df.schema.json(),
-                                        "touched": [p.rsplit("=", 1)[-1] for p in parts]
-                                        if partition_by else None,
+                                        "bucket_by": bucket_by, "buckets": buckets, "state": consumed,
+                                        "touched": self._values(parts) if partition_by else None,
                                         "rows_written": rows, "rows_inserted": rows,
                                         "rows_updated": 0, "rows_deleted": 0})
         return version
 
+    @staticmethod
+    def _values(parts, more=()) -> list:
+        """The different partition values of folders, and ``more`` of them, null first."""
+        found = {folder_values(p)[0] for p in parts} | {as_value(v) for v in more}
+        return sorted(found, key=lambda v: (v is not None, v or ""))
+
     def publish(self, df: DataFrame, name: str, changes: DataFrame | None = None,
                 partition_by: str | None = None, cluster_by: list | None = None,
                 operation: str = "WRITE") -> int:
@@ -368,36 +427,28 @@ class TableStore:
 
     def merge(self, source: DataFrame, name: str, keys, version_cols=None,
               partition_by: str | None = None, delete_keys: DataFrame | None = None,
-              cluster_by: list | None = None, operation: str = "MERGE") -> int:
+              cluster_by: list | None = None, operation: str = "MERGE", consumed: dict | None = None) -> int:
         """Keyed upsert of ``source`` into the latest version of ``name``.
 
         With ``partition_by`` only the partitions holding a source row or the
         current copy of a source key or of a key in ``delete_keys`` are read
         and rewritten; the new version refers to every other partition folder
-        of the previous version.
-        Creates the table when it does not exist yet.
+        of the previous version. Of a bucketed table (see ``create``, whose
+        buckets later versions keep) this holds for folders of one bucket of a
+        partition, and current copies are looked for in the buckets of the
+        source's and deleted keys only. Creates the table when it does not exist yet.
+        ``consumed`` is as in ``create``.
         """
         keys = [keys] if isinstance(keys, str) else list(keys)
         info = self.version_info(name)
         if info is None:
-            return self.create(source, name, partition_by, cluster_by, operation="CREATE")
+            return self.create(source, name, partition_by, cluster_by, operation="CREATE", consumed=consumed)
         version = info.version + 1
-        if partition_by:
-            current = self._read_parts(name, info.parts, partition_by, info.schema_json)
-            # partitions holding a source row or the current copy of a source
-            # or deleted key; only the key and partition columns of the table
-            # are read
-            looked_up = source.select(*keys)
-            if delete_keys is not None:
-                looked_up = looked_up.unionByName(delete_keys.select(*keys))
-            touched = [r[0] for r in (
-                source.select(partition_by)
-                      .union(current.select(*keys, partition_by)
-                                    .join(looked_up, keys, "left_semi").select(partition_by))
-                      .distinct().collect())]
-            wanted = {f"{partition_by}={p}" for p in touched}
-            keep = [p for p in info.parts if p.rsplit("/", 1)[-1] not in wanted]
-            target = self._read_parts(name, [p for p in info.parts if p not in keep],
+        bucket_by, buckets = info.bucket_by, info.buckets
+        if partition_by or bucket_by:
+            touched = self.touched_folders(info, name, source, keys, delete_keys, partition_by)
+            keep = [p for p in info.parts if folder_values(p) not in touched]
+            target = self._read_parts(name, [p for p in info.parts if folder_values(p) in touched],
                                       partition_by, info.schema_json)
         else:
             touched = None
@@ -405,17 +456,53 @@ class TableStore:
         result, changes = upsert_with_changes(
             target, source, keys, version_cols, delete_keys,
             materialize=lambda df: self.stage(df, f"{name}-merge"))
-        parts, rows = self._write_version(result, name, version, partition_by, cluster_by)
+        parts, rows = self._write_version(result, name, version, partition_by, cluster_by, bucket_by, buckets)
         metrics = self._write_changes(name, version, changes)
         self._write_log(name, version, {"operation": operation, "kind": "keyed",
-                                        "partition_by": partition_by,
+                                        "partition_by": partition_by, "bucket_by": bucket_by, "buckets": buckets, "state": consumed,
                                         "parts": sorted(keep + parts),
                                         "schema_json": result.schema.json(),
-                                        "touched": None if touched is None
-                                        else sorted(str(t) for t in touched),
+                                        "touched": self._values([], [t[0] for t in touched]) if partition_by else None,
                                         "rows_written": rows, **metrics})
         return version
 
+    def touched_folders(self, info: VersionInfo, name: str, source: DataFrame, keys: list,
+                        delete_keys: DataFrame | None = None, partition_by: str | None = None) -> set:
+        """(value, bucket) of the folders that a merge of ``source`` concerns: where its rows belong, and
+        where current copies of its keys or of deleted keys are. Of the table only key and partition
+        columns are read, of a bucketed one only in the buckets of these keys. What is collected is at
+        most one row per folder."""
+        looked_up = source.select(*keys)
+        if delete_keys is not None:
+            looked_up = looked_up.unionByName(delete_keys.select(*keys))
+        place = [F.col(f"`{partition_by}`").cast("string").alias("value")] if partition_by else []
+        parts = info.parts
+        if info.bucket_by:
+            bucket = bucket_of(info.bucket_by, info.buckets).cast("string").alias("bucket")
+            place = [*place, bucket]
+            hashed = {r[0] for r in looked_up.select(bucket).distinct().collect()}
+            parts = [p for p in parts if folder_values(p)[-1] in hashed]
+        current = self._read_parts(name, parts, partition_by, info.schema_json)
+        of_current = current.select(*dict.fromkeys([*keys, *([partition_by] if partition_by else [])])).join(looked_up, keys, "left_semi")
+        rows = source.select(*place).union(of_current.select(*place)).distinct().collect()
+        return {tuple(as_value(v) for v in r) for r in rows}
+
+    def read_folders(self, name: str, parts: list, partition_by: str | None) -> DataFrame:
+        """Rows of these data folders, with ``folder_id`` of the one that holds a row as ``folder``."""
+        schema = T.StructType.fromJson(json.loads(self.version_info(name).schema_json))
+        below = [F.col(c).cast("string") for c in ([partition_by] if partition_by else []) + ([BUCKET] if self.version_info(name).bucket_by else [])]
+        rows = self.spark.read.option("basePath", self.path(name)).schema(schema).parquet(*parts)
+        place = F.concat_ws("|", F.col(VERSION_DIR).cast("string"), *[F.coalesce(c, F.lit("")) for c in below])
+        return rows.select(*schema.fieldNames(), place.alias("folder"))
+
+    def read_for_keys(self, name: str, keys: DataFrame, version: int | None = None) -> DataFrame:
+        """The rows of a bucketed table that can have one of ``keys`` (its columns are those the buckets
+        hash): a read of their buckets' folders. At most one row per bucket is collected."""
+        info = self.version_info(name, version)
+        bucket = bucket_of(info.bucket_by, info.buckets).cast("string")
+        hashed = {r[0] for r in keys.select(bucket).distinct().collect()}
+        return self._read_parts(name, [p for p in info.parts if folder_values(p)[-1] in hashed], info.partition_by, info.schema_json)
+
     def replace_partitions(self, df: DataFrame, name: str, partition_by: str, values,
                            operation: str = "REPLACE_PARTITIONS") -> int:
         """New version where the partitions ``values`` hold exactly ``df``'s rows
@@ -426,14 +513,13 @@ class TableStore:
         if info is None:
             return self.create(df, name, partition_by, operation="CREATE")
         version = info.version + 1
-        wanted = {f"{partition_by}={v}" for v in values}
-        keep = [p for p in info.parts if p.rsplit("/", 1)[-1] not in wanted]
-        parts, rows = self._write_version(df, name, version, partition_by, None)
-        self._write_log(name, version, {"operation": operation, "kind": "keyed",
-                                        "partition_by": partition_by,
+        replaced = set(info.of_partitions(values))
+        keep = [p for p in info.parts if p not in replaced]
+        parts, rows = self._write_version(df, name, version, partition_by, None, info.bucket_by, info.buckets)
+        self._write_log(name, version, {"operation": operation, "kind": "keyed", **info.layout,
                                         "parts": sorted(keep + parts), "feed_parts": parts,
                                         "has_feed": False, "schema_json": df.schema.json(),
-                                        "touched": sorted(str(v) for v in values),
+                                        "touched": self._values([], values),
                                         "rows_written": rows, "rows_inserted": rows,
                                         "rows_updated": 0, "rows_deleted": 0})
         return version
@@ -451,17 +537,15 @@ class TableStore:
         if info is None:
             return self.create(df, name, partition_by)
         version = info.version + 1
-        drop = {f"{partition_by}={v}" for v in replace}
-        keep = [p for p in info.parts if p.rsplit("/", 1)[-1] not in drop]
-        parts, rows = self._write_version(df, name, version, partition_by, None)
+        replaced = set(info.of_partitions(replace))
+        keep = [p for p in info.parts if p not in replaced]
+        parts, rows = self._write_version(df, name, version, partition_by, None, info.bucket_by, info.buckets)
         metrics = (self._write_changes(name, version, changes) if changes is not None
                    else {"feed_parts": parts, "has_feed": False})
-        self._write_log(name, version, {"operation": operation, "kind": "keyed",
-                                        "partition_by": partition_by,
+        self._write_log(name, version, {"operation": operation, "kind": "keyed", **info.layout,
                                         "parts": sorted(keep + parts),
                                         "schema_json": df.schema.json(),
-                                        "touched": sorted({p.rsplit("=", 1)[-1] for p in parts}
-                                                          | {str(v) for v in replace}),
+                                        "touched": self._values(parts, replace),
                                         "rows_written": rows, **metrics})
         return version
 
@@ -475,7 +559,7 @@ class TableStore:
                 if r.get("touched") is None:
                     return None
                 out.update(r["touched"])
-        return sorted(out)
+        return self._values([], out)
 
     # ---- change feed ----------------------------------------------------------
     def read_changes(self, name: str, after: int | None, upto: int | None = None,
