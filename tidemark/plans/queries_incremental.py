@@ -13,7 +13,7 @@ from tidemark.plans import gold_deltas, quality_states
 from tidemark.plans import oracles as o
 from tidemark.plans import pipeline as pl
 from tidemark.plans.queries import TIERS, comparable, register
-from tidemark.plans.queries_tables import (A_UPTO, B_UPTO, BASE, C_DATE, PUBLISHED_GOLD, SEL_SILVER,
+from tidemark.plans.queries_tables import (A_UPTO, B_UPTO, BASE, C_DATE, GOLDS, HIST, PUBLISHED_GOLD, SEL_SILVER,
                                            _report_sql, _sel, silver_between)
 from tidemark.plans.scenario import RUNS, SCENARIO_CONFIG, delivery, scenario
 from tidemark.session import new_work_dir
@@ -98,3 +98,36 @@ def q_gold_cluster_depth(spark, sf_dir):
     store.create(gold, pl.GOLD, partition_by=pl.GOLD_PARTITION, cluster_by=["member_id"], rows_per_file=FILE_ROWS)
     found = clustering_depth(store.read_table(pl.GOLD), pl.GOLD_PARTITION, "member_id")
     return found.select(pl.GOLD_PARTITION, "n_rows", (F.col("n_files") <= 1).alias("one_file"), F.col("depth").cast("int").alias("depth"))
+
+
+TIERS_SQL = """
+SELECT s.transaction_month, g.current_tier, COUNT(*) AS transactions, COUNT(DISTINCT s.member_id) AS members
+FROM silver_transactions s JOIN gold_member_summary g ON s.member_id = g.member_id
+GROUP BY s.transaction_month, g.current_tier"""
+
+
+@register("sql_over_views", f"""WITH {BASE},\n{o.gold_cte('gold_c', 'silver', C_DATE, TIERS)},
+silver_transactions AS (SELECT * FROM silver), gold_member_summary AS (SELECT * FROM gold_c)
+{TIERS_SQL}""")
+def q_sql_over_views(spark, sf_dir):
+    """An analyst's SQL text over temp views of the published Silver and Gold."""
+    scenario(spark, sf_dir).register_views(pl.SQL_VIEWS)
+    return spark.sql(TIERS_SQL)
+
+
+@register("pipeline_chain", f"""WITH {BASE},\n{GOLDS},\n{HIST}
+SELECT 'landing' AS stage, COUNT(*) AS n_rows, COUNT(DISTINCT transaction_id) AS n_keys FROM landing
+UNION ALL SELECT 'bronze', COUNT(*), COUNT(DISTINCT transaction_id) FROM landing
+UNION ALL SELECT 'silver', COUNT(*), COUNT(DISTINCT transaction_id) FROM silver
+UNION ALL SELECT 'silver_quarantine', COUNT(*), COUNT(DISTINCT transaction_id) FROM landing WHERE NOT ({o.CLEAN_PRED})
+UNION ALL SELECT 'dq_report', 9, 9
+UNION ALL SELECT 'gold_member_summary', COUNT(*), COUNT(DISTINCT member_id) FROM gold_c
+UNION ALL SELECT 'member_tier_history', COUNT(*), COUNT(DISTINCT member_id) FROM hist""")
+def q_pipeline_chain(spark, sf_dir):
+    """What each of the chained stages has published after three runs: rows and different keys."""
+    store, out = scenario(spark, sf_dir), None
+    for table, key in ((pl.LANDING, "transaction_id"), (pl.BRONZE, "transaction_id"), (pl.SILVER, "transaction_id"),
+                       (pl.QUARANTINE, "transaction_id"), (pl.GATE, "expectation"), (pl.GOLD, "member_id"), (pl.HISTORY, "member_id")):
+        one = store.read_table(table).agg(F.lit(table).alias("stage"), F.count("*").alias("n_rows"), F.countDistinct(key).alias("n_keys"))
+        out = one if out is None else out.unionByName(one)
+    return out

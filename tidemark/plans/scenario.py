@@ -55,14 +55,15 @@ def delivery(landing: DataFrame, after: int | None, upto: int | None) -> DataFra
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Names, sizes and times of the input's files, and the library's source."""
+    """Names, sizes and times of the input's files, and the source of what builds the scenario."""
     h = hashlib.sha256()
     for table in ("lineitem", "orders"):
         path = f"{sf_dir.rstrip('/')}/{table}.parquet"
         for entry in list_folder(spark, path):
             h.update(f"{path}:{entry};".encode())
     pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    for root, _, files in sorted(os.walk(pkg)):
+    for root, below, files in os.walk(pkg):
+        below[:] = sorted(d for d in below if d != "llm")
         for f in sorted(files):
             if f.endswith(".py"):
                 with open(os.path.join(root, f), "rb") as fh:
@@ -78,10 +79,11 @@ def scenario(spark: SparkSession, sf_dir: str) -> TableStore:
     the checkpoint root. A changed input file or library source changes the
     fingerprint and triggers a fresh build.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    fingerprint = _fingerprint(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), fingerprint)
     if key in _BUILT:
         return _BUILT[key]
-    pointer = f"{checkpoint_root(spark)}/tidemark/scenario-index/fp={_fingerprint(spark, sf_dir)}"
+    pointer = f"{checkpoint_root(spark)}/tidemark/scenario-index/fp={fingerprint}"
     if path_exists(spark, f"{pointer}/_SUCCESS"):
         root = spark.read.parquet(pointer).first()["root"]
         store = TableStore(spark, root)
