@@ -105,12 +105,15 @@ def mix_sources(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     driver. Documents do not.
 
     Null or empty texts have size 0 and nothing taken; a null source is a source; a null id sorts
-    first; repeated rows are documents of their own, and share a shard as their ids are equal. Empty
+    first; repeated rows are documents of their own. A shard is chosen by id and text together, so that many
+    rows of one id, null included, are spread, and only rows equal in both share a shard. Of rows equal in
+    source, id and text, which one is taken more often is not told apart: the rows of the result are the same.
+    Texts may be as long as a string of Spark can be: only their sizes and hashes are shuffled. Empty
     table: no rows. Other columns of ``docs`` are ignored, whatever their names.
     """
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark, "mixing")
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"))
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.xxhash64(F.col(text)).alias("fp"), F.col(text).alias("text"))
     sized = scratch.save(count_words(base), "sizes")
 
     by_source = (sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
@@ -126,7 +129,7 @@ def mix_sources(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     sources = spark.createDataFrame(plan, "src string, source_size long, target double, wanted long, seats long, n_shards long")
 
     placed = (sized.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("src"))).drop("src")
-              .withColumn("shard", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.lit(seed)), F.col("n_shards"))))
+              .withColumn("shard", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.col("fp"), F.lit(seed)), F.col("n_shards"))))
     # seats and words of each band and shard: a task gets the bands of a source, or the shards of a band
     shards = scratch.save(
         placed.groupBy("source", "shard").agg(F.sum("size").alias("part_size"), F.first("wanted").alias("wanted"), F.first("seats").alias("seats"))
@@ -139,7 +142,7 @@ def mix_sources(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
               .applyInArrow(_apportion("shard", block_words, cap), "source string, shard long, wanted long, seats long")
               .select(F.col("source").alias("src"), F.col("shard").alias("shd"), F.col("wanted").alias("shard_wanted")))
     joined = placed.join(shares, F.col("source").eqNullSafe(F.col("src")) & (F.col("shard") == F.col("shd"))).drop("src", "shd", "wanted", "seats", "n_shards")
-    joined = joined.select("doc_id", "source", "size", "source_size", "target", "shard", "shard_wanted")
+    joined = joined.select("doc_id", "source", "size", "source_size", "target", "fp", "shard", "shard_wanted")
     schema = joined.select("doc_id", "source", "size", "source_size", "target").withColumn("taken", F.lit(0).cast("long")).schema
     return joined.groupBy("source", "shard").applyInArrow(_take(block_words, seed), schema)
 
@@ -169,7 +172,7 @@ def _apportion(part: str, block: int, cap: int):
 def _take(block: int, seed: int):
     """Words taken from each document of one shard."""
     def take(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("doc_id", "ascending"), ("size", "ascending")])
+        t = t.sort_by([("doc_id", "ascending"), ("size", "ascending"), ("fp", "ascending")])
         size = t["size"].to_numpy()
         total, wanted = int(size.sum()), int(t["shard_wanted"][0].as_py())
         ends = np.cumsum(size)
