@@ -395,27 +395,55 @@ def test_decontaminate_keeps_columns_of_the_scans_names(spark, limit, remove):
 
 # -- 6 ------------------------------------------------------------------------
 
+PAGES = "page_id long, url string, html string, file long, place long, record string, side string, hash string, kids string"
+
+
 def test_warc_audit_descends_to_the_damage(spark):
-    pages = spark.createDataFrame([(i if i % 9 else None, None if i % 5 == 0 else f"http://h/{i}", None if i % 7 == 0 else "é" * i, 1) for i in range(200)]
-                                  + [(3, "http://h/3", "ééé", 1)] * 3, "page_id long, url string, html string, file long")
+    rows = [(i if i % 9 else None, None if i % 5 == 0 else f"http://h/{i}", None if i % 7 == 0 else "" if i % 8 == 0 else "é" * i) for i in range(1, 197)]
+    rows += [(3, "http://h/3", "ééé")] * 3 + [(500, "http://h/500", "long " * 800_000), (3, "http://h/3", "other")]
+    pages = spark.createDataFrame([(*r, 1, 2, "x", "b", "y", "z") for r in rows], PAGES)
     scratch = Scratch(spark, "test")
-    rec = warc.with_record(pages)
-    assert rec.where(F.col("record").isNull()).count() == 0
-    leaves = scratch.save(warc.layout(rec.select("page_id", "url", F.octet_length("record").cast("long").alias("length"),
-                                                 warc.sha("record").alias("sha_a"), warc.sha("record").alias("sha_b")), scratch, 64), "leaves")
-    clean = warc.audit(leaves, 64, 4).collect()
-    assert [r["n_records"] for r in sorted(clean)] == [64, 64, 64, 11]
-    assert all(r["root_a"] == r["root_b"] and r["n_damaged"] == 0 and r["n_compared"] == 1 for r in clean)
-    hit = (F.col("file") == 1) & F.col("slot").isin(7, 40)
-    damaged = leaves.withColumn("sha_b", F.when(hit & (F.col("slot") == 7), F.lit(None)).when(hit, F.lit("0")).otherwise(F.col("sha_b")))
-    off = {r["slot"]: r["offset"] for r in leaves.where("file = 1").collect()}
-    for r in warc.audit(damaged, 64, 4).collect():
-        if r["file"] == 1:
-            assert r["damaged"] == f"{off[7]}:missing,{off[40]}:changed" and r["root_a"] != r["root_b"]
-            assert r["n_compared"] == 1 + 4 + 2 * 4 + 2 * 4
-        else:
-            assert r["n_damaged"] == 0 and r["n_compared"] == 1
+    first = scratch.save(warc.archive(pages, scratch, 16), "first")
+    table = sorted(map(tuple, first.collect()))
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    assert [r[:2] for r in table] == [(i // 16, i % 16) for i in range(len(rows))] and [r[2] for r in table] == [r[0] for r in want]
+    assert all(r[3].startswith("WARC/1.0") for r in table)
+
+    def damage(r):
+        f, place, page, record = r
+        if f == 6:
+            return [(6, place, page, "")] if place == 13 else [] if place == 7 else [r]
+        if f == 7:
+            return [(99, place, page, record)]              # a file under another name
+        if f == 5 and place == 15:
+            return [r, (5, 15.5, 10_000, "new")]            # more records than planned
+        if place == 7:
+            return {1: [(1, 7, page, "X" + record[1:])], 2: [(2, 7, page, record + "longer")], 3: [], 4: [(4, 7, page, None)]}.get(f, [r])
+        return [r]
+
+    other = [(x[0], float(x[1]), *x[2:], "clash") for r in table for x in damage(r)]
+    second = spark.createDataFrame(other, "file long, place double, page_id long, record string, side string")
+    got = {r["file"]: r for r in warc.audit(first, second, 16, 4).collect()}
+    at = lambda f, p: sum(len(r[3].encode()) for r in table if r[0] == f and r[1] < p)
+    assert sorted(got) == [*range(13), 99]
+    for f in (0, 8, 9, 10, 11, 12):
+        assert got[f]["root_a"] == got[f]["root_b"] and got[f]["n_damaged"] == got[f]["n_moved"] == 0
+        assert got[f]["n_compared"] == 1 and got[f]["damaged"] == "" and got[f]["n_records"] == (16 if f < 12 else 9)
+    for f in (1, 2):        # one path; what lies behind a longer record has other offsets, but isn't compared
+        assert got[f]["damaged"] == f"{at(f, 7)}:changed" and got[f]["n_compared"] == 1 + 4 + 4 and got[f]["n_moved"] == 0
+    assert got[2]["n_bytes_b"] == got[2]["n_bytes"] + 6
+    for f in (3, 4):        # all behind a lost record have another number in their file
+        assert got[f]["damaged"] == f"{at(f, 7)}:missing" and got[f]["n_moved"] == 8 and got[f]["n_records_b"] == 15
+        assert got[f]["n_compared"] == 1 + 4 + 3 * 4
+    assert got[5]["damaged"] == f"{got[5]['n_bytes']}:added" and got[5]["n_records_b"] == 17 and got[5]["n_compared"] == 1 + 5 + 1
+    assert got[6]["damaged"] == f"{at(6, 7)}:missing,{at(6, 13)}:changed" and got[6]["n_damaged"] == 2 and got[6]["n_moved"] == 7
+    assert got[7]["root_b"] is None and got[7]["n_damaged"] == 16 and got[7]["n_records_b"] == 0 and "added" not in got[7]["damaged"]
+    assert got[99]["root_a"] is None and got[99]["n_records"] == 0 and got[99]["n_damaged"] == 16 and got[99]["root_b"] == got[7]["root_a"]
+
     assert warc.fixity_audit(pages.limit(0)).count() == 0
+    found = warc.fixity_audit(pages.drop("file", "place")).collect()
+    rules = [zlib.crc32(str("" if r[0] is None else r[0]).encode()) % 200 for r in want]
+    assert sum(r["n_damaged"] for r in found) == sum(k < 4 for k in rules) > 0
 
 
 # -- 7 ------------------------------------------------------------------------

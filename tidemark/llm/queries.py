@@ -128,25 +128,40 @@ WITH r AS (SELECT page_id, url, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type:
                   || coalesce(CAST(page_id AS VARCHAR), '') || '>' || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
                   || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
                   || chr(13) || chr(10) || chr(13) || chr(10) AS a FROM pages),
-p AS (SELECT page_id, url, strlen(a) AS length, sha256(a) AS sha_a, a, row_number() OVER (ORDER BY page_id NULLS FIRST, url NULLS FIRST, sha256(a)) - 1 AS rank FROM r),
+p AS (SELECT page_id, a, row_number() OVER (ORDER BY page_id NULLS FIRST, url NULLS FIRST, sha256(a)) - 1 AS rank FROM r),
 crc AS (SELECT range AS b, list_reduce(list_concat([CAST(range AS BIGINT)], range(8)), lambda c, y: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
         FROM range(256)),
 t AS (SELECT list(v ORDER BY b) AS tab FROM crc),
-k AS (SELECT p.*, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(page_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
-              lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) % 50 AS rule FROM p, t),
-l AS (SELECT CAST(floor(rank / 256) AS BIGINT) AS file, rank % 256 AS slot, length, sha_a,
-             CASE rule WHEN 0 THEN sha256(a || chr(13) || chr(10)) WHEN 1 THEN sha256(left(a, len(a) - 1)) WHEN 2 THEN NULL ELSE sha_a END AS sha_b FROM k),
-o AS (SELECT *, coalesce(sum(length) OVER (PARTITION BY file ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM l),
-n AS (SELECT file, slot // 16 AS node, count(*) AS n, sum(length) AS bytes,
-             sha256(string_agg(slot || ':' || sha_a, ',' ORDER BY slot)) AS ha, sha256(string_agg(slot || ':' || sha_b, ',' ORDER BY slot)) AS hb,
-             count(*) FILTER (sha_a IS DISTINCT FROM sha_b) AS bad,
-             string_agg(CAST(off AS VARCHAR) || ':' || CASE WHEN sha_b IS NULL THEN 'missing' ELSE 'changed' END, ',' ORDER BY off) FILTER (sha_a IS DISTINCT FROM sha_b) AS damaged
-      FROM o GROUP BY ALL),
-f AS (SELECT file, CAST(sum(n) AS BIGINT) AS n_records, CAST(sum(bytes) AS BIGINT) AS n_bytes,
-             sha256(string_agg(node || ':' || ha, ',' ORDER BY node)) AS root_a, sha256(string_agg(node || ':' || hb, ',' ORDER BY node)) AS root_b,
-             CAST(1 + CASE WHEN sum(bad) > 0 THEN count(*) + coalesce(sum(n) FILTER (bad > 0), 0) ELSE 0 END AS BIGINT) AS n_compared,
-             CAST(sum(bad) AS BIGINT) AS n_damaged, coalesce(string_agg(damaged, ',' ORDER BY node), '') AS damaged FROM n GROUP BY file)
-SELECT * FROM f
+k AS (SELECT p.*, CAST(floor(rank / 256) AS BIGINT) AS file, rank % 256 AS place, coalesce(CAST(page_id AS VARCHAR), '') AS id FROM p),
+d AS (SELECT k.*, xor(list_reduce(list_concat([4294967295], list_transform(string_split(id, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+              lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) % 200 AS rule FROM k, t),
+e AS (SELECT 'a' AS side, file, 2 * place AS place, page_id, a AS record FROM d
+      UNION ALL SELECT 'b', file, 2 * place, page_id, CASE rule WHEN 0 THEN 'X' || substring(a, 2) WHEN 1 THEN left(a, len(a) - 1) ELSE a END FROM d WHERE rule <> 2
+      UNION ALL SELECT 'b', file, 2 * place + 1, page_id, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: metadata' || chr(13) || chr(10) || 'Content-Length: 0'
+                       || repeat(chr(13) || chr(10), 4) FROM d WHERE rule = 3),
+l AS (SELECT side, file, page_id, strlen(record) AS length, sha256(record) AS hash, row_number() OVER w - 1 AS slot,
+             coalesce(sum(strlen(record)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+      FROM e WINDOW w AS (PARTITION BY side, file ORDER BY place)),
+m AS (SELECT *, slot // 16 AS node, min(off) OVER (PARTITION BY side, file, slot // 16) AS start FROM l),
+n AS (SELECT side, file, node, start, sum(length) AS length, count(*) AS n,
+             sha256(string_agg((off - start) || ':' || length || ':' || hash, ',' ORDER BY slot)) AS hash FROM m GROUP BY ALL),
+r2 AS (SELECT file, CAST(coalesce(sum(n) FILTER (side = 'a'), 0) AS BIGINT) AS n_records, CAST(coalesce(sum(length) FILTER (side = 'a'), 0) AS BIGINT) AS n_bytes,
+              CAST(coalesce(sum(n) FILTER (side = 'b'), 0) AS BIGINT) AS n_records_b, CAST(coalesce(sum(length) FILTER (side = 'b'), 0) AS BIGINT) AS n_bytes_b,
+              sha256(string_agg(start || ':' || length || ':' || hash, ',' ORDER BY node) FILTER (side = 'a')) AS root_a,
+              sha256(string_agg(start || ':' || length || ':' || hash, ',' ORDER BY node) FILTER (side = 'b')) AS root_b FROM n GROUP BY file),
+n2 AS (SELECT file, node, max(hash) FILTER (side = 'a') IS DISTINCT FROM max(hash) FILTER (side = 'b') AS bad
+       FROM n SEMI JOIN (SELECT file FROM r2 WHERE root_a IS DISTINCT FROM root_b) USING (file) GROUP BY ALL),
+l2 AS (SELECT file, slot, max(hash) FILTER (side = 'a') IS DISTINCT FROM max(hash) FILTER (side = 'b') AS bad
+       FROM m SEMI JOIN (SELECT file, node FROM n2 WHERE bad) USING (file, node) GROUP BY ALL),
+c AS (SELECT file, CAST(count(*) AS BIGINT) AS n FROM (SELECT file FROM r2 UNION ALL SELECT file FROM n2 UNION ALL SELECT file FROM l2) GROUP BY file),
+x AS (SELECT *, row_number() OVER (PARTITION BY side, file, page_id ORDER BY slot) AS nth FROM m SEMI JOIN (SELECT file, slot FROM l2 WHERE bad) USING (file, slot)),
+y AS (SELECT file, coalesce(max(off) FILTER (side = 'a'), max(off) FILTER (side = 'b')) AS off,
+             CASE WHEN count(*) FILTER (side = 'b') = 0 THEN 'missing' WHEN count(*) FILTER (side = 'a') = 0 THEN 'added'
+                  WHEN min(hash) = max(hash) THEN 'moved' ELSE 'changed' END AS kind FROM x GROUP BY file, page_id, nth),
+z AS (SELECT file, count(*) FILTER (kind <> 'moved') AS n_damaged, count(*) FILTER (kind = 'moved') AS n_moved,
+             string_agg(CAST(off AS VARCHAR) || ':' || kind, ',' ORDER BY off, kind) FILTER (kind <> 'moved') AS damaged FROM y GROUP BY file)
+SELECT r2.*, c.n AS n_compared, coalesce(n_damaged, 0) AS n_damaged, coalesce(n_moved, 0) AS n_moved, coalesce(damaged, '') AS damaged
+FROM r2 JOIN c USING (file) LEFT JOIN z USING (file)
 """
 
 
