@@ -87,5 +87,6 @@ def ranked(df: DataFrame, order: list, scratch: Scratch, name: str = "ordered")
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     before = sizes.select(F.col("_part").alias("_p"), F.coalesce(
         F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    return (placed.join(before, part == F.col("_p"))
+    # one row per partition written above, so at most tasks(); a shuffle would move all rows again
+    return (placed.join(F.broadcast(before), part == F.col("_p"))
             .withColumn("_rank", F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at", "_p", "_before"))
