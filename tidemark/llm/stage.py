@@ -19,12 +19,14 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root, self._n = spark, new_work_dir(spark, label), 0
 
-    def save(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    def save(self, df: DataFrame, name: str, partition_by: str | None = None, compression: str | None = None) -> DataFrame:
         self._n += 1
         path = f"{self.root}/{self._n:03d}-{name}"
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(partition_by)
+        if compression:
+            writer = writer.option("compression", compression)
         writer.parquet(path)
         self.release()
         out = self.spark.read.schema(df.schema).parquet(path)
@@ -72,7 +74,7 @@ def fingerprint(text: str = "text"):
     return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
 
 
-def ranked(df: DataFrame, order: list, scratch: Scratch, name: str = "ordered") -> DataFrame:
+def ranked(df: DataFrame, order: list, scratch: Scratch, name: str = "ordered", compression: str | None = None) -> DataFrame:
     """``df`` with ``_rank``, 0 upwards in the given order; equal rows rank in any order.
 
     A range partitioning by the order, ending in a row number so that even many equal rows are dealt
@@ -82,7 +84,7 @@ def ranked(df: DataFrame, order: list, scratch: Scratch, name: str = "ordered")
     placed = scratch.save(
         df.withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(tasks(df.sparkSession), *order, F.col("_tie")).sortWithinPartitions(*order, "_tie")
-        .drop("_tie").withColumn("_at", F.monotonically_increasing_id()), name)
+        .drop("_tie").withColumn("_at", F.monotonically_increasing_id()), name, compression=compression)
     part = F.shiftright("_at", 33)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     before = sizes.select(F.col("_part").alias("_p"), F.coalesce(

@@ -45,7 +45,7 @@ def archive(pages: DataFrame, scratch: Scratch, file_records: int = FILE_RECORDS
     SHA-256 of the record): (file, place, page_id, record). Read back from the written table."""
     records = with_record(pages).withColumn("_sha", sha("record"))
     order = [F.col("page_id").asc_nulls_first(), F.col("url").asc_nulls_first(), F.col("_sha")]
-    return ranked(records, order, scratch, "archive").select(
+    return ranked(records, order, scratch, "archive", compression="zstd").select(
         F.floor(F.col("_rank") / file_records).alias("file"), F.pmod("_rank", F.lit(file_records)).alias("place"), "page_id", "record")
 
 
@@ -167,4 +167,4 @@ def fixity_audit(pages: DataFrame, second=damaged_copy) -> DataFrame:
     ``pages`` are ignored; an empty table gives no rows."""
     scratch = Scratch(pages.sparkSession, "warc")
     replica = archive(pages, scratch)
-    return audit(replica, scratch.save(second(replica), "replica"))
+    return audit(replica, scratch.save(second(replica), "replica", compression="zstd"))
