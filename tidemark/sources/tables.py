@@ -266,14 +266,10 @@ class TableStore:
             out = df if out is None else out.unionByName(df, allowMissingColumns=True)
         return out
 
-    def read_parts(self, name: str, parts: list) -> DataFrame:
-        """Rows of the given folders of published commits, and of no others."""
-        wanted, out = set(parts), None
-        for r in sorted(self._entries(name), key=lambda r: r["version"]):
-            if wanted & set(r["parts"]):
-                df = self.read_batches(name, r["version"] - 1, r["version"])
-                out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-        return self.read_batches(name).limit(0) if out is None else out
+    def versions_of(self, name: str, parts: list) -> list[int]:
+        """The commits that these folders belong to, in order."""
+        wanted = set(parts)
+        return sorted(int(r["version"]) for r in self._entries(name) if wanted & set(r["parts"]))
 
     def stage(self, df: DataFrame, label: str) -> DataFrame:
         """Materialise ``df`` once under the root and read it back.
