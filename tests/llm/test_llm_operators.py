@@ -516,6 +516,33 @@ def test_suffix_dedup(spark, layout):
     assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == texts
 
 
+TIED_IDS = [(None if i % 3 == 0 else 9 if i % 3 == 1 else i, t) for i, t in enumerate(
+    [PASSAGE + f" tail {i % 7}" if i % 4 else prose(i % 5, 120) + PASSAGE[i:100 + i] for i in range(90)])]
+
+
+def test_rows_of_one_id_span_cells(spark, monkeypatch):
+    """A third of the ids null and a third alike: cells keep their bound, results stay."""
+    monkeypatch.setattr(repeats, "CELL_BYTES", 3000)
+    kept, real = [], repeats.Cells.__init__
+
+    def note(self, *a, **k):
+        real(self, *a, **k)
+        kept.append(self.table)
+    monkeypatch.setattr(repeats.Cells, "__init__", note)
+    got = suffix_dedup.removed_bytes(documents(spark, TIED_IDS))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_bytes(TIED_IDS)[0]
+    got = suffix_dedup.removed_bytes(documents(spark, TIED_IDS), hot=1)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_bytes(TIED_IDS)[0]
+    got = rlz_dedup.removed_words(documents(spark, TIED_IDS)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_words(TIED_IDS)
+    nulls = sum(len(t) for i, t in TIED_IDS if i is None)
+    for table in kept:
+        size = table.groupBy("_cell").agg(F.sum(F.octet_length("_text")).alias("b"), F.count_if(F.col("_ord") == repeats.FIRST).alias("n"))
+        cells = size.collect()
+        assert nulls > 8000 and sum(r["n"] > 0 for r in cells) >= 4
+        assert max(r["b"] for r in cells) < 3 * 3000
+
+
 def brute_words(rows, window=35):
     ws = [SPACE.findall(t or "") for _, t in rows]
     count = Counter(tuple(w[j:j + window]) for w in ws for j in range(len(w) - window + 1))

@@ -2,7 +2,8 @@
 with their contexts, and exchanges of hashes between cells.
 
 Documents are laid out once, by ranges of their order, in cells of a bounded
-size; the table of cells is bucketed by cell, so every later pass reads it
+size; documents that are alike in the order (many null ids, say) are dealt over
+as many cells as their bytes need. The table of cells is bucketed by cell, so every later pass reads it
 without a shuffle. A pass works on one cell at a time and sends, or is sent,
 only hashes: each distinct hash of a cell once, however often it occurs there.
 
@@ -33,7 +34,9 @@ BUCKET_BYTES = 16 << 20
 RANGE_KEYS = 1 << 19
 FIRST = -(1 << 63)
 
-OTHER, EARLIER, MANY = 1, 2, 4      # bits of a reply: in another cell; in an earlier cell; seed has many contexts
+#: Bits of a reply: in another cell; in an earlier cell; seed has many contexts; in an earlier cell, but
+#: there only with the id that this cell begins with, so not before the documents of that id.
+OTHER, EARLIER, MANY, TIED = 1, 2, 4, 8
 
 
 @dataclass
@@ -90,7 +93,8 @@ class Cells:
         n_buckets = max(1, min(n_cells, max(tasks(spark), -(-n_bytes // BUCKET_BYTES))))
         self.bits = max(0, int(np.ceil(np.log2(max(1, n_bytes / units_per_key / RANGE_KEYS)))))
         name, path = f"tidemark_cells_{uuid.uuid4().hex[:12]}", f"{scratch.root}/cells"
-        (ordered.repartitionByRange(n_cells, "_ord").withColumn("_cell", F.spark_partition_id().cast("long"))
+        placed = ordered.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n_cells, "_ord", "_tie").drop("_tie")
+        (placed.withColumn("_cell", F.spark_partition_id().cast("long"))
          .write.bucketBy(n_buckets, "_cell").sortBy("_cell", "_ord").option("compression", "zstd").option("path", path).saveAsTable(name))
         self.table = spark.table(name)
         self.table.schema                        # resolved: the files stay, the name isn't needed any more
@@ -109,13 +113,16 @@ class Cells:
                 .applyInArrow(lambda t, r: tidy(work(t, _by_kind(r))), schema))
 
 
-def send(bits: int, keys: np.ndarray, cell: int, **payload: np.ndarray) -> pa.Table:
-    """Rows for an exchange: sorted keys and what goes with each, cut into 2**bits ranges of keys."""
+def send(bits: int, keys: np.ndarray, cell: int, ids: np.ndarray | None = None, **payload: np.ndarray) -> pa.Table:
+    """Rows for an exchange: sorted keys and what goes with each, cut into 2**bits ranges of keys; the
+    first and last of the cell's ``ids`` go with each row."""
     part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(keys)])) if len(keys) else np.zeros(1, np.int64)
     spans = list(zip(cuts[:-1], cuts[1:]))
     cols = {"_range": pa.array([int(part[a]) for a, _ in spans], pa.int64()), "_cell": pa.array([cell] * len(spans), pa.int64()),
             "keys": pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary())}
+    if ids is not None:
+        cols |= {"first": pa.array([int(ids.min())] * len(spans), pa.int64()), "last": pa.array([int(ids.max())] * len(spans), pa.int64())}
     return pa.table(cols | {k: pa.array([v[a:b].tobytes() for a, b in spans], pa.binary()) for k, v in payload.items()})
 
 
@@ -177,6 +184,7 @@ def seen(keys: np.ndarray, owner: np.ndarray, answers: np.ndarray) -> tuple[np.n
 SENT = "_range long, _cell long, keys binary"
 SENT_CONTEXTS = SENT + ", contexts binary"
 SENT_PLACES = SENT_CONTEXTS + ", places binary"
+SENT_ORDERED = SENT_CONTEXTS + ", first long, last long, inside binary"
 
 
 @dataclass
@@ -206,7 +214,11 @@ def contexts(seed: np.ndarray, context: np.ndarray, owner: np.ndarray) -> Contex
 def answer_contexts(sent: DataFrame, kind: int, with_reference: bool = False) -> DataFrame:
     """To each cell, for each of its distinct (seed, context) pairs: a byte with OTHER, EARLIER and
     MANY (other contexts have this seed as well). With ``with_reference`` also, as kind + 100, cell
-    and place (two 64-bit values) of the first other cell that holds the pair, or -1."""
+    and place (two 64-bit values) of the first other cell that holds the pair, or -1.
+
+    Cells are in the order of ids, and an id may span cells. Where cells sent their ids, and for each
+    pair whether a document before their last id has it (``inside``), a pair of an earlier cell that
+    only the id at the border has is TIED in place of EARLIER."""
     def answer(t: pa.Table) -> pa.Table:
         t = t.sort_by("_cell")
         read = lambda c, kind: [np.frombuffer(b, kind) for b in t[c].to_pylist()]
@@ -221,8 +233,14 @@ def answer_contexts(sent: DataFrame, kind: int, with_reference: bool = False) ->
         run, seed_run = np.cumsum(new) - 1, np.cumsum(new_seed) - 1
         size = np.bincount(run)
         many = np.bincount(seed_run, weights=new)[seed_run] > 1
+        earlier = np.full(len(s), EARLIER)
+        if "inside" in t.column_names:
+            holder = np.repeat(np.arange(len(parts)), [len(p) for p in parts])[order]
+            head = np.flatnonzero(new)[run]                  # the pair's first cell has its least id
+            inside = np.concatenate(read("inside", np.uint8))[order][head] > 0
+            earlier[~inside & (t["last"].to_numpy()[holder[head]] == t["first"].to_numpy()[holder])] = TIED
         out = np.empty(len(s), np.uint8)
-        out[order] = np.where(size[run] > 1, OTHER, 0) | np.where(new, 0, EARLIER) | np.where(many, MANY, 0)
+        out[order] = np.where(size[run] > 1, OTHER, 0) | np.where(new, 0, earlier) | np.where(many, MANY, 0)
         cells, r, sizes = t["_cell"].to_pylist(), t["_range"][0].as_py(), [len(p) for p in parts]
         result = reply(cells, r, kind, sizes, out)
         if not with_reference:

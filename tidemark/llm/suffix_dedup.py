@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import kernel, repeats
-from tidemark.llm.repeats import EARLIER, MANY
+from tidemark.llm.repeats import EARLIER, MANY, TIED
 from tidemark.llm.stage import Scratch
 
 WINDOW = 50
@@ -67,6 +67,11 @@ class _Cell:
         self.owner = self.rank[self.a.doc].astype(np.int64)
 
 
+def _later_than_all(codes: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """Which contexts an earlier document of another cell has, before the cell's first owner ``lo`` of it."""
+    return (codes & EARLIER > 0) | ((codes & TIED > 0) & (lo > 0))
+
+
 _TUPLE = "seed long, _cell long, place long, ord long, before binary, after binary, least int, most int"
 
 
@@ -78,7 +83,8 @@ def removed_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
 
     Documents are ordered by id; a null id comes before all others, and documents of equal id are not
     before each other. A null text counts as empty, a text shorter than ``window`` keeps everything,
-    repeated rows count once each, an empty table gives no rows; other columns are ignored.
+    repeated rows count once each, an empty table gives no rows; other columns are ignored. Documents
+    of one id may be any share of all: cells split them.
     """
     if window - seed + 1 > 63:
         raise ValueError("a window may be at most 62 bytes longer than a seed")
@@ -104,9 +110,9 @@ def removed_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     def send_contexts(t, replies):
         c = _Cell(t, window, seed)
         _, x = part(c, replies)
-        return repeats.send(bits, x.seed, c.cell, contexts=x.context)
+        return repeats.send(bits, x.seed, c.cell, c.ord, contexts=x.context, inside=(x.lo < c.rank.max()).astype(np.uint8))
 
-    second = scratch.save(repeats.answer_contexts(cells.per_cell(send_contexts, repeats.SENT_CONTEXTS, first), 2), "contexts")
+    second = scratch.save(repeats.answer_contexts(cells.per_cell(send_contexts, repeats.SENT_ORDERED, first), 2), "contexts")
     replies = first.unionByName(second)
 
     def send_tuples(t, replies):
@@ -114,7 +120,7 @@ def removed_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
         if len(codes := replies.get(2, ())):
             c = _Cell(t, window, seed)
             on, x = part(c, replies)
-            for u in np.flatnonzero((codes & MANY > 0) & (codes & EARLIER == 0)):
+            for u in np.flatnonzero((codes & MANY > 0) & ~_later_than_all(codes, x.lo)):
                 i = on[x.first[u]]
                 pos, lo, hi = int(c.a.pos[i]), int(c.a.lo[i]), int(c.a.hi[i])
                 for k, v in (("seed", int(x.seed[u].view(np.int64))), ("_cell", c.cell), ("place", int(u)), ("ord", int(c.ord[c.a.doc[i]])),
@@ -140,7 +146,7 @@ def removed_bytes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
         on, x = part(c, replies)
         if len(on):
             codes = replies[2]
-            gone = (codes[x.inverse] & EARLIER > 0) | (c.owner[on] > x.lo[x.inverse])
+            gone = _later_than_all(codes, x.lo)[x.inverse] | (c.owner[on] > x.lo[x.inverse])
             whole = on[gone]
             np.add.at(step, c.a.lo[whole], 1)
             np.add.at(step, c.a.hi[whole] + window, -1)
