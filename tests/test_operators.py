@@ -96,6 +96,38 @@ def test_upsert_adds_new_columns_and_deletes(spark):
     assert sorted(r["_change_type"] for r in changes.collect()) == ["delete", "insert"]
 
 
+def _odd_sides(spark):
+    """Keys on either side and on both, null keys, a target with a key twice, newer, older and equal versions."""
+    target = _state(spark, [("a", 1, 5), ("b", 2, 1), ("b", 9, 1), ("c", 3, 3), (None, 4, 1), (None, 5, 1), ("e", None, None), ("f", 6, None)])
+    source = _state(spark, [("a", 7, 4), ("b", 8, 2), ("c", 3, 3), (None, 4, 2), ("d", 1, 1), ("e", 1, 1), ("f", 7, None)])
+    return target, source
+
+
+@pytest.mark.parametrize("version_cols", [None, ("ver",)])
+@pytest.mark.parametrize("deleted", [[], ["a", "d", "zz"]])
+def test_both_joins_of_a_merge_give_the_same_rows(spark, version_cols, deleted):
+    target, source = _odd_sides(spark)
+    dels = spark.createDataFrame([(k,) for k in deleted], "k string") if deleted else None
+    by_keys, outer = [upsert_with_changes(target, source, ["k"], version_cols, dels, by_keys=x) for x in (True, False)]
+    for one, other in zip(by_keys, outer, strict=True):
+        assert one.dtypes == other.dtypes
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+
+
+def test_outer_join_of_a_merge_refuses_a_key_twice(spark):
+    target, source = _odd_sides(spark)
+    with pytest.raises(Exception, match="several rows for one key"):
+        upsert(target, source.unionByName(source.where("k = 'd'")), ["k"]).collect()
+
+
+def test_upsert_reads_either_side_once(spark, tmp_path):
+    for name, df in zip(("target", "source"), _odd_sides(spark), strict=True):
+        df.write.parquet(f"{tmp_path}/{name}")
+    target, source = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("target", "source"))
+    plan = upsert(target, source, ["k"], ("ver",))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+
+
 def test_change_capture_roundtrip(spark):
     old = _state(spark, [("a", 1, 1), ("b", 2, 1), ("c", 3, 1)])
     new = _state(spark, [("a", 1, 1), ("b", 5, 2), ("d", 4, 1)])

@@ -1,9 +1,10 @@
 """Keyed upsert with change capture, written as joins.
 
 ``target`` is the current state, ``source`` one row per key (already
-deduplicated). The big side is only ever semi- or anti-joined against the
-source's keys, so with a small daily source AQE turns both into broadcast
-hash joins and the target is scanned without being shuffled.
+deduplicated). A small daily source meets the target through its keys: the big
+side is only semi- or anti-joined against them, so AQE turns both into broadcast
+hash joins and the target is scanned without being shuffled. A source too large
+for that meets the target in one full outer join, which moves each side once.
 """
 
 from __future__ import annotations
@@ -49,9 +50,24 @@ def one_row_per_key(source: DataFrame, keys: list) -> DataFrame:
     return source.withColumn("_n", n).where(ok.isNull()).drop("_n")
 
 
+def _all_pairs(target: DataFrame, source: DataFrame, keys: list, names: list) -> DataFrame:
+    """(_s, _t): every row of either side, next to the one of its key on the other side or null. Columns
+    are put in structs after the join, so the shuffles carry a key once."""
+    def side(df, letter):
+        return df.select(*[F.col(f"`{n}`").alias(f"{letter}_{i}") for i, n in enumerate(names)], F.lit(True).alias(f"{letter}_in"))
+
+    def row(letter):
+        columns = [F.col(f"{letter}_{i}").alias(n) for i, n in enumerate(names)]
+        return F.when(F.col(f"{letter}_in"), F.struct(*columns)).alias(f"_{letter}")
+
+    at = [names.index(k) for k in keys]
+    on = reduce(lambda a, b: a & b, [F.col(f"s_{i}") == F.col(f"t_{i}") for i in at])
+    return side(source, "s").join(side(target, "t"), on, "full_outer").select(row("s"), row("t"))
+
+
 def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
                         version_cols=None, delete_keys: DataFrame | None = None,
-                        materialize=None) -> tuple[DataFrame, DataFrame]:
+                        materialize=None, by_keys: bool = True) -> tuple[DataFrame, DataFrame]:
     """MERGE (update all when matched, insert all otherwise) -> (result, changes).
 
     * ``version_cols``: when given, a matched source row replaces the target
@@ -66,10 +82,12 @@ def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
     * ``materialize``: optional callable used to stage the source-sized
       decision set once (it feeds both the result and the changes).
 
-    The target is touched only by a semi-join (rows matching a source key)
-    and an anti-join (rows without a source key) against the source's keys;
-    where those are small Spark broadcasts them, and the target is scanned
-    without being shuffled.
+    ``by_keys``: the target is touched only by a semi-join (rows matching a
+    source key) and an anti-join (rows without a source key) against the
+    source's keys; where those are small Spark broadcasts them, and the target is
+    scanned without being shuffled. Without it both sides meet in one full outer
+    join, each evaluated and shuffled once; the decision set then holds the
+    target's rows as well. Rows and changes are the same.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = union_schema(target, source)
@@ -78,10 +96,13 @@ def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
     src = align(source, cols)
 
     src_keys = src.select(*keys)
-    # target rows whose key appears in the source (bounded by the source size)
-    hit = tgt.join(src_keys, keys, "left_semi")
-    pairs = (one_row_per_key(src, keys).select(*keys, F.struct(*names).alias("_s"))
-                .join(hit.select(*keys, F.struct(*names).alias("_t")), keys, "left"))
+    if by_keys:
+        # target rows whose key appears in the source (bounded by the source size)
+        hit = tgt.join(src_keys, keys, "left_semi")
+        pairs = (one_row_per_key(src, keys).select(*keys, F.struct(*names).alias("_s"))
+                    .join(hit.select(*keys, F.struct(*names).alias("_t")), keys, "left"))
+    else:
+        pairs = _all_pairs(tgt, one_row_per_key(src, keys), keys, names)
     if version_cols:
         s_ver = F.struct(*[F.col(f"_s.`{c}`") for c in version_cols])
         t_ver = F.struct(*[F.col(f"_t.`{c}`") for c in version_cols])
@@ -89,15 +110,18 @@ def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
     else:
         wins = F.lit(True)
     same = F.col("_t").isNotNull() & F.col("_s").eqNullSafe(F.col("_t"))
-    decided = pairs.withColumn("_wins", wins & ~same)
+    decided = pairs.withColumn("_wins", F.col("_s").isNotNull() & wins & ~same)
     if materialize is not None:
         decided = materialize(decided)
 
     winners = decided.where("_wins")
-    kept = decided.where(~F.col("_wins") & F.col("_t").isNotNull()).select("_t.*")
-    result = (tgt.join(src_keys, keys, "left_anti")
-                 .unionByName(winners.select("_s.*"))
-                 .unionByName(kept))
+    if by_keys:
+        kept = decided.where(~F.col("_wins") & F.col("_t").isNotNull()).select("_t.*")
+        result = (tgt.join(src_keys, keys, "left_anti")
+                     .unionByName(winners.select("_s.*"))
+                     .unionByName(kept))
+    else:
+        result = decided.select(F.when(F.col("_wins"), F.col("_s")).otherwise(F.col("_t")).alias("_r")).select("_r.*")
 
     change_rows = winners.select(F.explode(F.filter(F.array(
         F.when(F.col("_t").isNull(),
@@ -118,7 +142,8 @@ def upsert_with_changes(target: DataFrame, source: DataFrame, keys,
 
 
 def upsert(target: DataFrame, source: DataFrame, keys, version_cols=None) -> DataFrame:
-    return upsert_with_changes(target, source, keys, version_cols)[0]
+    """The merged rows alone. Nothing is staged here, so either side is used once only."""
+    return upsert_with_changes(target, source, keys, version_cols, by_keys=False)[0]
 
 
 def capture_changes(old: DataFrame, new: DataFrame, keys) -> DataFrame:
