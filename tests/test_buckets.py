@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from tidemark.operators.merge import CHANGE_TYPE
+from tidemark.sources import tables
 from tidemark.sources.tables import bucket_of, folder_values
 
 SCHEMA = "k string, p string, v int"
@@ -40,6 +41,26 @@ def test_merge_into_any_partition_value(spark, store, buckets):
     assert content(store.read_table("t")) == content(frame(spark, left + moved))
 
 
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_large_source_merges_in_one_join_with_the_same_rows_and_feed(spark, store, monkeypatch, buckets):
+    """Above SMALL_SOURCE rows both sides meet in one full outer join; table, feed and folders are those of the joins by keys."""
+    joins, merged = [], tables.upsert_with_changes
+    monkeypatch.setattr(tables, "upsert_with_changes", lambda *a, **k: joins.append(k["by_keys"]) or merged(*a, **k))
+    layout = {"bucket_by": ["k"], "buckets": buckets} if buckets else {}
+    old = [(f"k{i}", f"p{i % 3}", i) for i in range(30)] + [("same", None, 5), ("newer", "p1", 9), ("gone", "p2", 1), ("far", "p9", 1)]
+    new = [(f"k{i}", f"p{i % 2}", i + 100) for i in range(0, 30, 4)] + [("same", None, 5), ("newer", "p0", 3), ("n", "p7", 1), (None, "p0", 2)]
+    got = []
+    for name, limit in (("by_keys", 100), ("outer", len(new) - 1)):
+        monkeypatch.setattr(tables, "SMALL_SOURCE", limit)
+        store.create(frame(spark, old), name, partition_by="p", **layout)
+        store.merge(frame(spark, new), name, "k", version_cols=("v",), partition_by="p", delete_keys=frame(spark, [("gone",), ("n",)], "k string"))
+        feed = store.read_changes(name, 1, 2, ("insert", "update_preimage", "update_postimage", "delete"), with_meta=True)
+        info = store.version_info(name)
+        got.append((content(store.read_table(name)), content(feed), sorted(map(str, map(folder_values, info.parts))), sum("=2-" in p for p in info.parts)))
+    assert joins == [True, False] and got[0] == got[1]
+    assert ("newer", "p1", 9) in got[1][0] and ("k4", "p0", 104) in got[1][0] and not {"gone", "n"} & {r[0] for r in got[1][0]}
+
+
 def test_merge_into_empty_text_partition_reads_as_null(spark, store):
     store.create(frame(spark, [("k", "", 1)]), "t", partition_by="p")
     store.merge(frame(spark, [("k", "", 2)]), "t", "k", partition_by="p")
