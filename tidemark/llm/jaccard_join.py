@@ -37,6 +37,7 @@ NODE = 1024
 #: Shingles of a node's sets: nodes of long documents have fewer points, so that a task's memory is bounded.
 NODE_SHINGLES = 1 << 22
 LEAF = 32
+COARSE = 4              # groups that are added up for the first, cheaper bound of two points
 SAMPLE = 4              # of so many hashes one takes part in the root's bound
 RANGE_KEYS = 1 << 19
 
@@ -170,7 +171,7 @@ def _points(percent: int, k: int):
 
 
 def _matrix(t: pa.Table, column: str = "v") -> np.ndarray:
-    return np.array([np.frombuffer(x, np.int32) for x in t[column].to_pylist()], np.int64).reshape(t.num_rows, -1)
+    return np.frombuffer(b"".join(t[column].to_pylist()), np.int32).reshape(t.num_rows, -1).astype(np.int64)
 
 
 def _box(t: pa.Table) -> pa.Table:
@@ -193,8 +194,40 @@ def _leaves(v: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+class _Bound:
+    """The bound of the points of a leaf against many others: over sums of ``COARSE`` groups first, which is
+    never below that over the groups, then over the groups of what is left. Sums of minima are at
+    most the larger size, so they are kept in integers that just hold it, a group in a row."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, percent: int):
+        self.percent, self.size_a, self.size_b = percent, a.sum(axis=1), b.sum(axis=1)
+        most = max(int(self.size_a.max(initial=0)), int(self.size_b.max(initial=0)))
+        self.kind = np.int16 if most < 1 << 15 else np.int32 if most < 1 << 31 else np.int64
+        fold = lambda v: np.add.reduceat(v, np.arange(0, v.shape[1], COARSE), axis=1)
+        self.a, self.b, self.coarse_a, self.coarse_b = (v.astype(self.kind) for v in (a, b, fold(a), fold(b)))
+
+    def pairs(self, part: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``part`` and ``other`` of the pairs that can link."""
+        def shared(x, y):
+            return np.minimum(x[:, None], y).sum(axis=0, dtype=self.kind)
+
+        coarse, fine = np.ascontiguousarray(self.coarse_b[other].T), np.ascontiguousarray(self.b[other].T)
+        # the least overlap of a link: percent / (100 + percent) of both sizes, rounded up
+        need = -(-self.percent * (self.size_a[part][:, None] + self.size_b[other]) // (100 + self.percent))
+        need, found = need.astype(self.kind), []
+        for p, least in zip(part, need):
+            at = np.flatnonzero(shared(self.coarse_a[p], coarse) >= least)
+            if 2 * len(at) > len(other):
+                at = np.flatnonzero(shared(self.a[p], fine) >= least)
+            elif len(at):
+                at = at[shared(self.a[p], fine[:, at]) >= least[at]]
+            found.append(at)
+        return np.repeat(np.arange(len(part)), [len(x) for x in found]), np.concatenate(found)
+
+
 def candidates(a: np.ndarray, b: np.ndarray, percent: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of points whose bound allows a link, some at a time; with ``same`` (a is b) only i < j."""
+    bound = _Bound(a, b, percent)
     la, lb = _leaves(a), None
     lb = la if same else _leaves(b)
     boxes = lambda x, leaves: (np.array([x[p].min(axis=0) for p in leaves]), np.array([x[p].max(axis=0) for p in leaves]))
@@ -207,14 +240,10 @@ def candidates(a: np.ndarray, b: np.ndarray, percent: int, same: bool) -> Iterat
             continue
         other = np.concatenate([lb[j] for j in meet])
         leaf = np.repeat(meet, [len(lb[j]) for j in meet])
-        x, y = a[part], b[other]
-        bound = np.empty((len(part), len(other)), bool)
-        sy = y.sum(axis=1)
-        for p in range(len(part)):
-            bound[p] = (100 + percent) * np.minimum(x[p], y).sum(axis=1) >= percent * (x[p].sum() + sy)
+        p, q = bound.pairs(part, other)
         if same:        # within one leaf each pair once; pairs of leaves come once as j > i
-            bound &= (leaf[None, :] > i) | (part[:, None] < other[None, :])
-        p, q = np.nonzero(bound)
+            once = (leaf[q] > i) | (part[p] < other[q])
+            p, q = p[once], q[once]
         if len(p):
             yield part[p], other[q]
 
